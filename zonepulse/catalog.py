@@ -330,7 +330,7 @@ def top_cells_labelled(w: Warehouse) -> DataFrame:
 
 @query
 def cells_without_forecast(w: Warehouse) -> DataFrame:
-    recent = R.recent_forecast(trip_forecast(w), "2004-11-30 12:00:00", "12 hours")
+    recent = R.recent_forecast(trip_forecast(w), "2004-11-30 12:00:00")
     return R.demand_map(recent, w.locations, 8)["without_forecast"]
 
 
@@ -629,8 +629,8 @@ def sink_roundtrip(w: Warehouse) -> DataFrame:
 @query
 def retention(w: Warehouse) -> DataFrame:
     path = scratch_path(w.spark, "retention")
-    stored = K.materialize(K.with_day(w.table("orders"), "o_orderdate", "day"), path, ["day"])
-    return K.expire_partitions(stored, "day", 90, "2001-08-01").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    stored = K.materialize(K.with_day(w.table("events"), "ts", "day"), path, ["day"])
+    return K.expire_partitions(stored, "day", 10, "2024-01-30").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
