@@ -158,14 +158,20 @@ def fct_trips(w: Warehouse) -> DataFrame:
     return w.facts()
 
 
+def training_set(w: Warehouse, noise: float) -> DataFrame:
+    """The facts feed the training rows and the hourly demand, so they are stored in between."""
+    trips = stash(w.facts().select(*FA.TRAINING_COLUMNS), "facts")
+    return FA.fare_training(trips, w.dates, w.weather, FA.hourly_demand(trips, w.dates, w.weather), noise, SEED)
+
+
 @query
 def fare_training(w: Warehouse) -> DataFrame:
-    return FA.fare_training(w.facts(), w.dates, w.weather, w.demand(), noise=0)
+    return training_set(w, 0)
 
 
 @query
 def noisy_label(w: Warehouse) -> DataFrame:
-    return FA.fare_training(w.facts(), w.dates, w.weather, w.demand(), noise=0.1, seed=SEED)
+    return training_set(w, 0.1)
 
 
 @query
@@ -180,7 +186,8 @@ def zone_patterns(w: Warehouse) -> DataFrame:
 
 
 def zone_table(w: Warehouse) -> DataFrame:
-    return FA.zone_features(w.facts(), w.demand(), w.locations, *SPAN)
+    trips = stash(w.facts().select("pickup_cell", "picked_up_at"), "facts")
+    return FA.zone_features(trips, FA.hourly_demand(trips, w.dates, w.weather), w.locations, *SPAN)
 
 
 @query
@@ -226,35 +233,35 @@ def rfm_customers(w: Warehouse) -> DataFrame:
 
 # --- vendors ------------------------------------------------------------------------------
 
-def vendor_span(w: Warehouse) -> DataFrame:
-    return P.date_between(R.of_vendors(w.facts(), VENDORS), "picked_up_at", *SPAN)
+def vendor_hours(w: Warehouse) -> DataFrame:
+    chosen = P.where_in(w.facts(), "vendor_id", VENDORS)
+    return R.vendor_hours(P.date_between(chosen, "picked_up_at", *SPAN))
 
 
 @query
 def vendor_hourly(w: Warehouse) -> DataFrame:
-    return A.volume_by(vendor_span(w), "vendor_id", "picked_up_at", "hour")
+    return R.vendor_volume(vendor_hours(w), "hour")
 
 
 @query
 def vendor_weekday(w: Warehouse) -> DataFrame:
-    out = A.volume_by(vendor_span(w), "vendor_id", "picked_up_at", "day_of_week")
+    out = R.vendor_volume(vendor_hours(w), "day_of_week")
     return out.withColumn("day_name", T.dow_name("day_of_week"))
 
 
 @query
 def vendor_monthly(w: Warehouse) -> DataFrame:
-    year = P.same_year(R.of_vendors(w.facts(), VENDORS), "picked_up_at", AS_OF)
+    year = P.same_year(P.where_in(w.facts(), "vendor_id", VENDORS), "picked_up_at", AS_OF)
     return A.volume_by(year, "vendor_id", "picked_up_at", "month")
 
 
 @query
 def vendor_speed(w: Warehouse) -> DataFrame:
-    return R.average_speed(vendor_span(w), 24.5)
+    return R.average_speed(vendor_hours(w), 24.5)
 
 
 @query
 def vendor_kpis(w: Warehouse) -> DataFrame:
-    # Both groupings read the same few columns of the span.
     return rounded(R.vendor_report(w.facts(), *SPAN)["kpis"], ["share_1_pct", "speed_lead_mph"])
 
 
@@ -274,7 +281,7 @@ def event_grid_filled(w: Warehouse) -> DataFrame:
 
 def standin_forecast(w: Warehouse, on=M.FORECAST_KEYS) -> DataFrame:
     """The rolling daily mean plays the model, so that results are exact."""
-    features = w.event_features()
+    features = stash(w.event_features(), "features")
     recent = P.last_interval(features, "timestamp_hour", "24 hours")
     recent = P.require_not_null(recent, ["pickups_24h_ago"])
     scored = recent.withColumn("predicted_total_pickups", F.col("avg_pickups_24h"))
@@ -300,12 +307,12 @@ def mape(w: Warehouse) -> DataFrame:
 
 @query
 def seasonal_forecast(w: Warehouse) -> DataFrame:
-    return M.forecast_horizon(w.event_demand(), 24)
+    return M.forecast_horizon(stash(w.event_demand(), "demand"), 24)
 
 
 def trip_forecast(w: Warehouse) -> DataFrame:
     """Weekday and hour profile of every cell as predictions for the hours that occurred."""
-    demand = w.demand()
+    demand = stash(w.demand(), "demand")
     profile = M.seasonal_profile(demand)
     keyed = demand.select("pickup_cell", "timestamp_hour", "day_of_week", "hour_of_day")
     return keyed.join(profile, ["pickup_cell", "day_of_week", "hour_of_day"]).select(
@@ -364,7 +371,7 @@ def quote_requests(w: Warehouse) -> DataFrame:
         key.alias("request_id"),
         lat(key).alias("pickup_lat"), lon(key).alias("pickup_lon"),
         lat(cust).alias("dropoff_lat"), lon(cust).alias("dropoff_lon"),
-        (F.col("o_orderdate") + B.seconds(key * 37 % 86400)).alias("requested_at"),
+        B.plus_seconds(F.col("o_orderdate"), key * 37 % 86400).alias("requested_at"),
     )
 
 
@@ -379,7 +386,9 @@ def trip_explorer(w: Warehouse) -> DataFrame:
 
 @query
 def random_sample(w: Warehouse) -> DataFrame:
-    return R.trip_sample(w.facts(), 1000, *SPAN, seed=SEED)
+    # Sampling reads its input twice, so the span is stored first.
+    span = stash(P.date_between(w.facts(), "picked_up_at", *SPAN), "span")
+    return R.trip_sample(span, 1000, *SPAN, seed=SEED)
 
 
 @query
@@ -394,7 +403,7 @@ def model_row_counts(w: Warehouse) -> DataFrame:
 
 @query
 def quality_report(w: Warehouse) -> DataFrame:
-    rows = w.facts()
+    rows = stash(w.facts().select("trip_id", "datetime_id", "passenger_count", "trip_duration_seconds"), "checked")
     checks = Q.report(
         {
             "unique trip_id": Q.check_unique(rows, ["trip_id"]),
@@ -512,8 +521,7 @@ def demand_model_forecast(w: Warehouse) -> DataFrame:
 
 @query
 def fare_model_quotes(w: Warehouse) -> DataFrame:
-    training = FA.fare_training(w.facts(), w.dates, w.weather, w.demand(), noise=0.1, seed=SEED)
-    model = M.train_fare(training, SEED)
+    model = M.train_fare(training_set(w, 0.1), SEED)
     quotes = M.quote_fares(
         quote_requests(w), R.live_conditions(w.weather_documents()), trip_forecast(w), model, "2004-11-30 12:00:00"
     )
@@ -543,8 +551,15 @@ def event_stream(w: Warehouse) -> DataFrame:
     return TB.read_stream(w.spark, f"{w.folder.rstrip('/')}/event[s].parquet", w.table("events").schema)
 
 
+def topic(w: Warehouse, messages: DataFrame) -> DataFrame:
+    """Publishes messages to a folder and opens a stream on it."""
+    path = scratch_path(w.spark, "topic")
+    messages.write.parquet(path)
+    return TB.read_stream(w.spark, path, messages.schema)
+
+
 def trip_messages(w: Warehouse) -> DataFrame:
-    return B.message_values(B.trip_message_fields(event_stream(w)), S.base64_text)
+    return topic(w, B.message_values(B.trip_message_fields(w.table("events")), S.base64_text))
 
 
 @query
@@ -561,7 +576,7 @@ def stream_bad_messages(w: Warehouse) -> DataFrame:
 
 @query
 def stream_ingest_weather(w: Warehouse) -> DataFrame:
-    docs = B.weather_documents(event_stream(w)).select(S.base64_text("raw_json").alias("value"))
+    docs = topic(w, w.weather_documents().select(S.base64_text("raw_json").alias("value")))
     landed = I.drain(I.ingest_raw_json(docs, as_of="2024-02-01 00:00:00"), "weather")
     return ST.stg_weather_json(landed)
 
@@ -582,20 +597,16 @@ def stream_active_trips(w: Warehouse) -> DataFrame:
 def stream_scored_events(w: Warehouse) -> DataFrame:
     features = stash(w.event_features(), "features")
     model = M.train_demand(features, SEED, iterations=5)
-    live = TB.read_stream(w.spark, stored_folder(features), features.schema)
+    live = topic(w, features)
     return I.drain(I.score_stream(live, model), "scored").select(
         "pickup_cell", "timestamp_hour", "predicted_total_pickups", "surge"
     )
 
 
-def stored_folder(df: DataFrame) -> str:
-    return df.inputFiles()[0].rsplit("/", 1)[0]
-
-
 @query
 def message_roundtrip(w: Warehouse) -> DataFrame:
     fields = B.trip_message_fields(w.table("events")).drop("event_id").where(F.col("fare_amount").isNotNull())
-    return I.ingest_trips(K.to_messages(fields), as_of="2024-02-01 00:00:00").drop("processing_timestamp")
+    return I.ingest_trips(stash(K.to_messages(fields)), as_of="2024-02-01 00:00:00").drop("processing_timestamp")
 
 
 def raw_event_trips(w: Warehouse) -> DataFrame:
@@ -614,7 +625,7 @@ def replay_rows(w: Warehouse) -> DataFrame:
 @query
 def replay_sample(w: Warehouse) -> DataFrame:
     messages = I.replay_batch(raw_event_trips(w), "2028-01-11", 50, 1461, 1462, SEED, ["event_id"])
-    return I.ingest_trips(messages, as_of="2024-02-01 00:00:00")
+    return I.ingest_trips(stash(messages), as_of="2024-02-01 00:00:00")
 
 
 # --- sinks --------------------------------------------------------------------------------

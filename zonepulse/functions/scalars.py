@@ -206,12 +206,12 @@ def json_field(col, path: str, dtype: str = "string") -> Column:
 def number_text(col, scale: int = 9) -> Column:
     """Decimal as text without trailing zeros: 12.5000 -> 12.5, 100.0000 -> 100."""
     text = as_col(col).cast(f"decimal(28,{scale})").cast("string")
-    return F.regexp_replace(text, r"\.?0+$", "")
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
 
 def stamp_text(ts) -> Column:
     """UTC timestamp as text, e.g. 2025-01-01 07:30:00+00."""
-    return F.concat(F.date_format(as_col(ts), "yyyy-MM-dd HH:mm:ss"), F.lit("+00"))
+    return F.concat(as_col(ts).cast("string"), F.lit("+00"))
 
 
 def surrogate_key(*cols) -> Column:

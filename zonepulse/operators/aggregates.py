@@ -44,9 +44,13 @@ VOLUME_KEYS = {
 }
 
 
-def volume_by(df: DataFrame, key: str, ts: str, period: str, out: str = "trip_count") -> DataFrame:
-    """Rows per key and period; period is hour, day_of_week or month."""
-    return df.groupBy(key, VOLUME_KEYS[period](ts).alias(period)).agg(F.count(F.lit(1)).alias(out))
+def volume_by(
+    df: DataFrame, key: str, ts: str, period: str, out: str = "trip_count", weight: str | None = None
+) -> DataFrame:
+    """Rows per key and period; period is hour, day_of_week or month. `weight` names a column
+    of counts when the rows are themselves sums."""
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.groupBy(key, VOLUME_KEYS[period](ts).alias(period)).agg(rows.alias(out))
 
 
 def coverage(df: DataFrame, key: str, ts: str) -> DataFrame:

@@ -24,6 +24,10 @@ from zonepulse.operators.windows import add_change, series_features
 LAGS = {"pickups_1h_ago": 1, "pickups_24h_ago": 24, "pickups_1week_ago": 168}
 ROLLS = {"avg_pickups_7h": 7, "avg_pickups_24h": 24}
 
+TRAINING_COLUMNS = (
+    "fare_amount", "passenger_count", "trip_distance", "trip_duration_seconds",
+    "picked_up_at", "pickup_cell", "dropoff_cell", "datetime_id", "weather_date",
+)
 FARE_RANGES = {
     "fare_amount": (0, None),
     "trip_duration_seconds": (60, 7200),
@@ -53,27 +57,24 @@ def fct_trips(trips: DataFrame, dates: DataFrame, locations: DataFrame, weather:
 def hourly_demand(facts: DataFrame, dates: DataFrame, weather: DataFrame) -> DataFrame:
     """Pickups per cell and hour with calendar and weather attributes.
 
-    Counts first and joins the dimensions afterwards, on the far fewer (cell, hour) rows.
-    Should a dimension list a key more than once, the count is multiplied by the number of
-    matches, which is what joining every single trip would give.
+    Counts first and joins the dimensions afterwards, on the far fewer (cell, hour) rows; the
+    day of the hour is the key of both. Should a dimension list a day more than once, the count
+    is multiplied by the number of matches, which is what joining every single trip would give.
     """
-    counts = hourly_counts(
-        facts, "pickup_cell", "picked_up_at",
-        {"datetime_id": F.min("datetime_id"), "weather_date": F.min("weather_date")},
-    )
-    per_date = dates.groupBy(F.col("date_id").alias("datetime_id")).agg(
+    counts = hourly_counts(facts, "pickup_cell", "picked_up_at").withColumn("__day", F.to_date("timestamp_hour"))
+    per_date = dates.groupBy(F.col("full_date").alias("__day")).agg(
         F.count(F.lit(1)).alias("__dates"),
         F.min("is_weekend").alias("is_weekend"),
         F.min("is_holiday").alias("is_holiday"),
     )
-    per_weather = weather.groupBy("weather_date").agg(
+    per_weather = weather.groupBy(F.col("weather_date").alias("__day")).agg(
         F.count(F.lit(1)).alias("__weathers"),
         *[F.min(c).alias(c) for c in ("avg_temp_celsius", "total_precipitation_mm", "had_rain", "had_snow")],
     )
     times = F.coalesce("__dates", F.lit(1)) * F.coalesce("__weathers", F.lit(1))
     return (
-        counts.join(per_date, "datetime_id", "left")
-        .join(per_weather, "weather_date", "left")
+        counts.join(per_date, "__day", "left")
+        .join(per_weather, "__day", "left")
         .select(
             "pickup_cell", "timestamp_hour",
             (F.col("total_pickups") * times).alias("total_pickups"),
@@ -125,10 +126,7 @@ def fare_training(
         raise ValueError("noise needs a seed")
     # Only fields that survive; the ranges cut rows before any join.
     trips = in_ranges(
-        facts.select(
-            "fare_amount", "passenger_count", "trip_distance", "trip_duration_seconds",
-            "picked_up_at", "pickup_cell", "dropoff_cell", "datetime_id", "weather_date",
-        ),
+        facts.select(*TRAINING_COLUMNS),
         FARE_RANGES,
     )
     days = dates.select(F.col("date_id").alias("datetime_id"), "day_of_week", "is_holiday", "is_weekend")

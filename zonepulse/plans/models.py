@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (
@@ -276,12 +278,18 @@ def pca_loadings(model: PCAModel, cols: Sequence[str], df: DataFrame) -> DataFra
 
 
 def cluster(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10, seed: int = 42, out: str = "cluster") -> DataFrame:
-    """K-means with several starts; the one with the least cost stays."""
+    """K-means with several starts; the one with the least cost stays.
+
+    The starts are independent jobs, a few of which run at a time.
+    """
     vectors = VectorAssembler(inputCols=list(cols), outputCol="__x").transform(df)
-    best = min(
-        (KMeans(k=k, seed=seed + i, featuresCol="__x", predictionCol=out, maxIter=50).fit(vectors) for i in range(restarts)),
-        key=lambda m: m.summary.trainingCost,
-    )
+
+    def fit(start: int):
+        return KMeans(k=k, seed=seed + start, featuresCol="__x", predictionCol=out, maxIter=50).fit(vectors)
+
+    with ThreadPool(min(4, restarts)) as pool:
+        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
+    best = min(fitted, key=lambda m: m.summary.trainingCost)
     return best.transform(vectors).drop("__x")
 
 

@@ -11,7 +11,7 @@ from zonepulse.functions.scalars import (
     demand_level, earnings, lookup, marker_size, pct, recency_score, rfm_segment, round_to,
     safe_div, speed_mph,
 )
-from zonepulse.functions.times import day_name, days_between, dow_name
+from zonepulse.functions.times import day_name, days_between, dow_name, hour_floor
 from zonepulse.operators.aggregates import WIDE, exact_avg, kpis, value_counts, volume_by
 from zonepulse.operators.joins import complete_grid, label_locations, without_match
 from zonepulse.operators.ordering import order_by_category, random_n, top_k
@@ -121,16 +121,27 @@ def rfm_summaries(scored: DataFrame, segments: Sequence[str] = fixed.SEGMENTS[:2
 
 # --- vendors ------------------------------------------------------------------------------
 
-def of_vendors(facts: DataFrame, vendors: Sequence[str]) -> DataFrame:
-    return where_in(facts, "vendor_id", vendors)
+def vendor_hours(facts: DataFrame) -> DataFrame:
+    """Trips and speeds per vendor and full hour: one pass over the facts for all vendor
+    reports, with at most one row per vendor and hour of the calendar."""
+    moving = (F.col("trip_distance") > 0) & (F.col("trip_duration_seconds") > 0)
+    speed = round_to(speed_mph("trip_distance", "trip_duration_seconds"), 6).cast("decimal(18,6)")
+    return facts.groupBy("vendor_id", hour_floor("picked_up_at").alias("picked_up_at")).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum(F.when(moving, speed)).alias("speed_sum"),
+        F.count(F.when(moving, speed)).alias("speed_n"),
+    )
+
+
+def vendor_volume(hours: DataFrame, period: str) -> DataFrame:
+    return volume_by(hours, "vendor_id", "picked_up_at", period, weight="trips")
 
 
-def average_speed(facts: DataFrame, cap: float = 60.0) -> DataFrame:
-    """Mean speed by vendor and hour over trips with distance and time; fast groups drop."""
-    moving = facts.where((F.col("trip_distance") > 0) & (F.col("trip_duration_seconds") > 0))
-    speed = round_to(speed_mph("trip_distance", "trip_duration_seconds"), 6)
-    out = moving.groupBy("vendor_id", F.hour("picked_up_at").alias("hour")).agg(
-        exact_avg(speed, "decimal(18,6)").alias("avg_speed_mph")
+def average_speed(hours: DataFrame, cap: float = 60.0) -> DataFrame:
+    """Mean speed by vendor and hour of day over trips with distance and time; groups at or
+    above the cap, and groups without such trips, drop."""
+    out = hours.groupBy("vendor_id", F.hour("picked_up_at").alias("hour")).agg(
+        F.try_divide(F.sum("speed_sum").cast("double"), F.sum("speed_n").cast("double")).alias("avg_speed_mph")
     )
     return out.where(F.col("avg_speed_mph") < cap)
 
@@ -142,7 +153,7 @@ def vendor_kpis(hourly: DataFrame, speed: DataFrame, first: str = "1", second: s
         return F.coalesce(F.sum(F.when(F.col("vendor_id") == vendor, F.col("trip_count"))), F.lit(0))
 
     totals = hourly.agg(trips_of(first).alias("trips_1"), trips_of(second).alias("trips_2"))
-    means = speed.groupBy().agg(
+    means = speed.agg(
         *[
             exact_avg(F.when(F.col("vendor_id") == v, F.col("avg_speed_mph")), WIDE).alias(name)
             for v, name in ((first, "s1"), (second, "s2"))
@@ -157,14 +168,19 @@ def vendor_report(
     facts: DataFrame, start: str, end: str, fill: str = "mean", seed: int | None = None,
     vendors: Sequence[str] = ("1", "2"),
 ) -> dict[str, DataFrame]:
-    """By hour, weekday, month of the last year and speed, with weekdays and months filled up."""
-    chosen = of_vendors(facts, vendors)
-    span = date_between(chosen, "picked_up_at", start, end)
-    hourly = volume_by(span, "vendor_id", "picked_up_at", "hour")
-    weekly = volume_by(span, "vendor_id", "picked_up_at", "day_of_week")
-    monthly = volume_by(same_year(chosen, "picked_up_at", end), "vendor_id", "picked_up_at", "month")
+    """By hour, weekday, month of the year of `end`, and speed; weekdays and months filled up.
+
+    The facts are read once, into a stored table of vendor hours.
+    """
+    year = end[:4]
+    chosen = where_in(facts, "vendor_id", vendors)
+    chosen = date_between(chosen, "picked_up_at", min(start, f"{year}-01-01"), max(end, f"{year}-12-31"))
+    hours = stash(vendor_hours(chosen), "vendors")
+    span = date_between(hours, "picked_up_at", start, end)
+    hourly, weekly = vendor_volume(span, "hour"), vendor_volume(span, "day_of_week")
+    monthly = vendor_volume(same_year(hours, "picked_up_at", end), "month")
     speed = average_speed(span)
-    months = [f"{end[:4]}-{m:02d}" for m in range(1, 13)]
+    months = [f"{year}-{m:02d}" for m in range(1, 13)]
     name = lookup("vendor_id", fixed.VENDOR_NAMES).alias("vendor")
     week_grid = complete_grid(
         weekly, "vendor_id", "day_of_week", list(range(1, 8)), "trip_count", fill,
@@ -206,7 +222,8 @@ def demand_levels(demand: DataFrame, col: str = "predicted_total_pickups") -> Da
 
 
 def demand_map(forecast: DataFrame, locations: DataFrame, hour: int, k: int = 10) -> dict[str, DataFrame]:
-    demand = demand_at_hour(forecast, hour)
+    # One row per cell, read by each of the four parts.
+    demand = stash(demand_at_hour(forecast, hour), "demand_map")
     cells = locations.select(F.col("cell").alias("pickup_cell")).where(F.col("pickup_cell").isNotNull()).distinct()
     best = top_k(demand, [F.desc("predicted_total_pickups"), F.asc("pickup_cell")], k)
     labels = locations.withColumnRenamed("cell", "pickup_cell")
@@ -236,7 +253,7 @@ def trip_sample(facts: DataFrame, n: int, start: str, end: str, seed: int) -> Da
     """n random paid trips of a date range, with the day's name."""
     paid = facts.where((F.col("trip_distance") > 0) & (F.col("fare_amount") > 0))
     span = date_between(paid, "picked_up_at", start, end).select(*SAMPLE_COLUMNS)
-    drawn = random_n(span, n, seed, ["trip_id", "dropped_off_at", "passenger_count"])
+    drawn = random_n(span, n, seed, ["picked_up_at", "dropped_off_at", "passenger_count", "total_amount"])
     return drawn.withColumn("day_of_week", day_name("picked_up_at"))
 
 

@@ -6,7 +6,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonepulse.functions.times import date_id
 from zonepulse.operators import quality
 from zonepulse.operators.aggregates import row_counts
 from zonepulse.plans import dimensions, facts, models, staging
@@ -97,8 +96,7 @@ class Warehouse:
 
     def event_facts(self) -> DataFrame:
         return self.table("events").select(
-            F.col("event_type").alias("pickup_cell"), F.col("ts").alias("picked_up_at"),
-            date_id("ts").alias("datetime_id"), F.to_date("ts").alias("weather_date"),
+            F.col("event_type").alias("pickup_cell"), F.col("ts").alias("picked_up_at")
         )
 
     def event_demand(self) -> DataFrame:

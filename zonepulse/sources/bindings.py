@@ -20,28 +20,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def seconds(n: Column) -> Column:
-    return F.make_dt_interval(secs=n.cast("decimal(18,6)"))
+def plus_seconds(ts: Column, n: Column) -> Column:
+    return F.timestamp_add("SECOND", n, ts)
+
+
+def hundredths(col: str) -> Column:
+    """A two-digit amount as whole hundredths (amounts are not negative)."""
+    return (F.col(col) * 100.0 + 0.5).cast("long")
 
 
 def raw_trips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Trip records: one per line item, its order giving the day. Amounts are ten-thousandths."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     fare = F.expr("cents div 10")
-    tip = F.expr("(cents * cast(round(l_discount * 100) as bigint)) div 1000")
-    extra = F.round(F.col("l_tax") * 100).cast("long") * 2500
+    tip = F.expr("(cents * discount) div 1000")
+    extra = hundredths("l_tax") * 2500
     tolls = F.when(F.col("l_partkey") % 10 == 0, F.lit(65500)).otherwise(F.lit(0)).cast("long")
-    pickup = F.col("o_orderdate") + seconds((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 911) % 86400)
-    drive = seconds((F.col("l_partkey") * 53 + F.col("l_linenumber") * 7) % 9000)
+    start = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 911) % 86400
+    drive = (F.col("l_partkey") * 53 + F.col("l_linenumber") * 7) % 9000
 
     def money(units: Column) -> Column:
         return units / F.lit(10000.0)
 
-    days = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    return lineitem.withColumn("cents", cents).join(days, "l_orderkey").select(
+    # Two tables that grow together: neither is ever broadcast.
+    days = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate").hint("merge")
+    items = lineitem.withColumns({"cents": hundredths("l_extendedprice"), "discount": hundredths("l_discount")})
+    return items.join(days, "l_orderkey").select(
         (F.col("l_linenumber") % 2 + 1).cast("string").alias("vendor_id"),
-        pickup.alias("pickup_datetime"),
-        (pickup + drive).alias("dropoff_datetime"),
+        plus_seconds(F.col("o_orderdate"), start).alias("pickup_datetime"),
+        plus_seconds(F.col("o_orderdate"), start + drive).alias("dropoff_datetime"),
         (F.col("l_linenumber") - 1).cast("long").alias("passenger_count"),
         (F.col("l_quantity") / 2.0 - 1.0).alias("trip_distance"),
         (F.col("l_suppkey") % 25).cast("string").alias("pickup_location_id"),
@@ -133,7 +139,7 @@ def trip_message_fields(events: DataFrame) -> DataFrame:
     fare = F.when(eid % 17 != 0, (eid % 5000 + 250) / F.lit(100.0))
 
     def stamp(extra: Column) -> Column:
-        return F.date_format(F.date_trunc("second", F.col("ts") + seconds(extra)), "yyyy-MM-dd'T'HH:mm:ss")
+        return F.date_format(F.date_trunc("second", plus_seconds(F.col("ts"), extra)), "yyyy-MM-dd'T'HH:mm:ss")
 
     return events.select(
         "event_id",

@@ -55,7 +55,9 @@ def parse_trips(
     text = messages.select(decode_text(col).alias("__text"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}
     doc = F.from_json("__text", f"{MESSAGE_SCHEMA}, __corrupt string", options)
-    fields = text.select("__text", doc.alias("m")).select("__text", "m.*")
+    # Unfolding a one-element array keeps later filters above the parse; pushed below it they
+    # would parse the message again for every field they test.
+    fields = text.select("__text", F.explode(F.array(doc)).alias("m")).select("__text", "m.*")
     for ts in ("pickup_datetime", "dropoff_datetime"):
         fields = fields.withColumn(ts, F.col(ts).try_cast("timestamp_ntz"))
     bad = F.col("__text").isNull() | F.col("__corrupt").isNotNull()
