@@ -88,6 +88,7 @@ def train_trees(
         if sizes[f] <= max_categories:
             encoders.append(StringIndexer(inputCol=f, outputCol=f"__c_{f}", handleInvalid="keep"))
             bins = max(bins, int(sizes[f] * 1.2) + 8)
+            inputs.append(f"__c_{f}")
         else:
             exprs.append(f"CAST(pmod(xxhash64(`{f}`), {HASH_BUCKETS}) AS double) AS `__h_{f}`")
             encoders.append(
@@ -96,7 +97,9 @@ def train_trees(
                     targetType="continuous", handleInvalid="keep",
                 )
             )
-        inputs.append(f"__c_{f}")
+            # The sum drops the mark of a category: the mean label is a plain number.
+            encoders.append(SQLTransformer(statement=f"SELECT *, `__c_{f}` + 0.0D AS `__t_{f}` FROM __THIS__"))
+            inputs.append(f"__t_{f}")
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
     if numbers:
         stages.append(Imputer(inputCols=[f"__n_{f}" for f in numbers], outputCols=[f"__i_{f}" for f in numbers]))
