@@ -48,6 +48,19 @@ def test_batch_drops_empty_ids_and_stream_keeps_them(frame):
     assert dict(ST.batch_trips(df, 0).dtypes)["fare_amount"] == "decimal(18,4)"
 
 
+def test_landing_partitions_are_pruned(frame, spark, tmp_path):
+    from zonepulse.sources import sinks as K
+
+    path = str(tmp_path / "landing")
+    rows = trips(frame, trip("2025-11-23 23:59:59"), trip("2025-11-24 00:00:00"), trip("2025-11-25 00:00:00"))
+    K.materialize(K.with_day(rows, "pickup_datetime", "day"), path, ["day"])
+    landing = spark.read.parquet(path)
+    out = ST.landed_trips(landing, "2025-11-24", day_col="day")
+    assert out.count() == ST.landed_trips(landing, "2025-11-24").count() == 2
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2025-11-24" in plan
+
+
 def test_calendar_shift(frame):
     seed = frame([(date(2021, 2, 28), "a", "Holiday"), (date(2020, 2, 29), "b", "Event")], TB.CALENDAR_SCHEMA)
     assert pairs(ST.stg_events(seed, 4), "event_date") == [(date(2024, 2, 29),), (date(2025, 2, 28),)]

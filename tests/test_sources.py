@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -68,6 +69,25 @@ def test_scratch_follows_the_session(spark):
     assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
 
 
+class Bare:
+    """A session without any checkpoint folder."""
+
+    def __init__(self, master):
+        self.master, self.sparkContext, self.conf = master, self, self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Bare("yarn"))
+    assert session.scratch_root(Bare("local[2]")) == session.scratch_root(Bare("local[2]"))
+
+
 def test_stash_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, datetime(2025, 1, 1), None)], "a int, t timestamp_ntz, s string")
     kept = session.stash(df)

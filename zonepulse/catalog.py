@@ -571,7 +571,8 @@ def stream_ingest_trips(w: Warehouse) -> DataFrame:
 @query
 def stream_bad_messages(w: Warehouse) -> DataFrame:
     _, bad = I.split_bad(I.parse_trips(trip_messages(w)))
-    return I.drain(bad, "bad").groupBy(F.length("message").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    kind = F.when(F.try_parse_json("message").isNull(), "broken").otherwise("incomplete").alias("kind")
+    return I.drain(bad, "bad").groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query

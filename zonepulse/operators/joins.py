@@ -50,12 +50,15 @@ def join_role(
     return fact.join(side, fact[fact_key] == side[f"__{role}_key"], how).drop(f"__{role}_key")
 
 
-def where_exists(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+def where_exists(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key occurs in `keys`. The keys are made distinct first: a hot key then
+    crosses the network once per task instead of once per row."""
+    return df.join(keys.select(on).distinct(), on, "left_semi")
 
 
-def without_match(everything: DataFrame, present: DataFrame, on) -> DataFrame:
-    return everything.join(present, on, "left_anti")
+def without_match(everything: DataFrame, present: DataFrame, on: str) -> DataFrame:
+    """Rows whose key does not occur in `present`."""
+    return everything.join(present.select(on).distinct(), on, "left_anti")
 
 
 def label_locations(

@@ -143,15 +143,12 @@ def top_n_per_group(df: DataFrame, group: str, by: Sequence[Column], n: int) ->
 
 def name_by_rank(df: DataFrame, group: str, metric: str, names: Sequence[str], out: str) -> DataFrame:
     """Names groups by falling mean of `metric`; groups beyond the names stay NULL."""
-    rank = F.row_number().over(Window.orderBy(F.desc("__mean"), F.asc(group)))
+    by = [F.desc("__mean"), F.asc(group)]
     table = F.array(*[F.lit(name) for name in names])
-    ranked = (
-        df.groupBy(group).agg(F.avg(metric).alias("__mean"))
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") <= len(names))
-        .select(F.col(group), F.get(table, F.col("__rank") - 1).alias(out))
-    )
-    # At most len(names) rows, by the filter above.
+    # Only as many groups as there are names reach the window without partitions.
+    best = df.groupBy(group).agg(F.avg(metric).alias("__mean")).orderBy(*by).limit(len(names))
+    ranked = best.select(group, F.get(table, F.row_number().over(Window.orderBy(*by)) - 1).alias(out))
+    # Sent to every task: at most len(names) rows, by the limit above.
     return df.join(F.broadcast(ranked), group, "left")
 
 

@@ -65,10 +65,17 @@ def batch_trips(raw: DataFrame, shift: int, start=None, end=None) -> DataFrame:
     return conform(good, moved)
 
 
-def landed_trips(landing: DataFrame, start=None) -> DataFrame:
-    """Streamed rows from the cutoff on. Empty location ids pass here, NULL ones do not."""
+def landed_trips(landing: DataFrame, start: str | None = None, day_col: str | None = None) -> DataFrame:
+    """Streamed rows from the cutoff on. Empty location ids pass here, NULL ones do not.
+
+    `day_col` names the partition column holding the pickup day, so that older partitions are
+    never listed or opened.
+    """
     good = require_present(require_positive(landing, MEASURES), LOCATION_IDS, allow_empty=True)
-    return conform(time_range(good, "pickup_datetime", start), TRIP_SPEC)
+    good = time_range(good, "pickup_datetime", start)
+    if day_col and start is not None:
+        good = good.where(F.col(day_col) >= F.lit(start[:10]).cast("date"))
+    return conform(good, TRIP_SPEC)
 
 
 def unify_batch_stream(batch: DataFrame, stream: DataFrame) -> DataFrame:
@@ -77,11 +84,12 @@ def unify_batch_stream(batch: DataFrame, stream: DataFrame) -> DataFrame:
 
 
 def stg_trips(
-    batch: DataFrame, landing: DataFrame, shift: int, batch_start, batch_end, stream_start
+    batch: DataFrame, landing: DataFrame, shift: int, batch_start: str, batch_end: str,
+    stream_start: str, day_col: str | None = None,
 ) -> DataFrame:
     """Batch rows from [batch_start, batch_end) before the shift, landed rows from stream_start."""
     return unify_batch_stream(
-        batch_trips(batch, shift, batch_start, batch_end), landed_trips(landing, stream_start)
+        batch_trips(batch, shift, batch_start, batch_end), landed_trips(landing, stream_start, day_col)
     )
 
 

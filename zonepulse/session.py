@@ -27,19 +27,23 @@ def get_session(master: str | None = None, app: str = "zonepulse", **extra: str)
     return builder.getOrCreate()
 
 
+_LOCAL_ROOT: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Folder all executors can reach: the one the cluster names in spark.checkpoint.dir.
+    """Folder all executors can reach: the one the cluster names in spark.checkpoint.dir, or
+    the checkpoint folder set on the context.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a local session without either falls back to a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="zonepulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="zonepulse-"))
+    return _LOCAL_ROOT[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
