@@ -7,28 +7,27 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonepulse.functions.scalars import as_col
 from zonepulse.functions.times import as_col_or_stamp
 
 
 def conform(df: DataFrame, spec: Mapping[str, tuple[object, str]]) -> DataFrame:
     """Select, cast and rename: {output: (input name or column, type)}."""
-    return df.select(*[as_col(src).cast(dtype).alias(out) for out, (src, dtype) in spec.items()])
+    return df.select(
+        *[
+            F.expr(f"CAST(`{src}` AS {dtype}) AS `{out}`") if isinstance(src, str) else src.cast(dtype).alias(out)
+            for out, (src, dtype) in spec.items()
+        ]
+    )
 
 
 def require_positive(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows whose measures are all above zero; NULL fails."""
-    for col in cols:
-        df = df.where(F.col(col) > 0)
-    return df
+    return df.where(" AND ".join(f"`{c}` > 0" for c in cols))
 
 
 def require_present(df: DataFrame, cols: Sequence[str], allow_empty: bool = False) -> DataFrame:
-    for col in cols:
-        df = df.where(F.col(col).isNotNull())
-        if not allow_empty:
-            df = df.where(F.col(col) != "")
-    return df
+    test = "`{c}` IS NOT NULL" if allow_empty else "`{c}` IS NOT NULL AND `{c}` != ''"
+    return df.where(" AND ".join(test.format(c=c) for c in cols))
 
 
 def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -41,6 +41,7 @@ LAG_COLUMNS = ("pickups_1h_ago", "pickups_24h_ago", "pickups_1week_ago")
 # Categories up to this number become tree categories; more are hashed and target-encoded.
 MAX_CATEGORIES = 1000
 HASH_BUCKETS = 1 << 16
+ROWS_PER_TASK = 20_000
 
 # Rows below which nothing is held out, and the held-out share or number above.
 SPLIT_SMALL, SPLIT_LARGE, SPLIT_SHARE, SPLIT_ROWS = 500, 50_000, 0.2, 10_000
@@ -60,6 +61,12 @@ def auto_split(df: DataFrame, seed: int, rows: int | None = None, out: str = "is
     return df.withColumn(out, draw < int(share * 1_000_000))
 
 
+def fewer_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Iterative training runs a job per step; a small set then needs no more tasks than it
+    has rows for. Large sets stay as they are."""
+    return df.coalesce(max(1, rows // ROWS_PER_TASK))
+
+
 def train_trees(
     df: DataFrame, label: str, features: Sequence[str], seed: int, iterations: int = 50,
     depth: int = 6, step: float = 0.3, min_progress: float | None = 0.01,
@@ -74,6 +81,7 @@ def train_trees(
     rows = data.count()
     if not rows:
         raise ValueError("no rows to train on")
+    data = fewer_tasks(data, rows)
     texts = [f for f in features if isinstance(data.schema[f].dataType, StringType)]
     flags = [f for f in features if isinstance(data.schema[f].dataType, BooleanType)]
     numbers = [f for f in features if f not in texts and f not in flags]
@@ -286,9 +294,10 @@ def cluster(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10,
     The starts are independent jobs, a few of which run at a time.
     """
     vectors = VectorAssembler(inputCols=list(cols), outputCol="__x").transform(df)
+    points = fewer_tasks(vectors.select("__x"), df.count())
 
     def fit(start: int):
-        return KMeans(k=k, seed=seed + start, featuresCol="__x", predictionCol=out, maxIter=50).fit(vectors)
+        return KMeans(k=k, seed=seed + start, featuresCol="__x", predictionCol=out, maxIter=50).fit(points)
 
     with ThreadPool(min(4, restarts)) as pool:
         fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,6 +21,18 @@ EVENT_YEARS = 24
 EVENT_CALENDAR = ("2024-01-01", "2024-12-31")
 
 
+def defined_once(define: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+    """Keeps the definition of a lazy frame; its data is computed anew by every query."""
+
+    @wraps(define)
+    def get(self: Warehouse) -> DataFrame:
+        if define.__name__ not in self.defined:
+            self.defined[define.__name__] = define(self)
+        return self.defined[define.__name__]
+
+    return get
+
+
 class Warehouse:
     """Staging and facts are lazy frames, dimensions are stored tables.
 
@@ -29,32 +42,42 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.defined: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return bindings.table(self.spark, self.folder, name)
+        if name not in self.defined:
+            self.defined[name] = bindings.table(self.spark, self.folder, name)
+        return self.defined[name]
 
     # sources
 
+    @defined_once
     def raw_trips(self) -> DataFrame:
         return bindings.raw_trips(self.table("lineitem"), self.table("orders"))
 
+    @defined_once
     def zones(self) -> DataFrame:
         return bindings.zones(self.table("nation"), self.table("region"))
 
+    @defined_once
     def stations(self) -> DataFrame:
         return bindings.stations(self.table("orders"))
 
+    @defined_once
     def calendar(self) -> DataFrame:
         return bindings.calendar_events(self.table("orders"))
 
+    @defined_once
     def weather_documents(self) -> DataFrame:
         return bindings.weather_documents(self.table("events"))
 
     # staging
 
+    @defined_once
     def trips(self) -> DataFrame:
         return staging.batch_trips(self.raw_trips(), SHIFT_DAYS)
 
+    @defined_once
     def weather_sources(self) -> DataFrame:
         return staging.weather_unified(
             staging.station_rollup(self.stations(), SHIFT_YEARS),
@@ -78,12 +101,15 @@ class Warehouse:
 
     # facts
 
+    @defined_once
     def facts(self) -> DataFrame:
         return facts.fct_trips(self.trips(), self.dates, self.locations, self.weather)
 
+    @defined_once
     def demand(self) -> DataFrame:
         return facts.hourly_demand(self.facts(), self.dates, self.weather)
 
+    @defined_once
     def features(self) -> DataFrame:
         return facts.hourly_features(self.demand(), self.dates)
 
@@ -94,11 +120,13 @@ class Warehouse:
         marked = staging.stg_events(self.calendar(), EVENT_YEARS)
         return stash(dimensions.dim_datetime(self.spark, marked, *EVENT_CALENDAR), "event_dates")
 
+    @defined_once
     def event_facts(self) -> DataFrame:
         return self.table("events").select(
             F.col("event_type").alias("pickup_cell"), F.col("ts").alias("picked_up_at")
         )
 
+    @defined_once
     def event_demand(self) -> DataFrame:
         return facts.hourly_demand(self.event_facts(), self.event_dates, self.weather)
 

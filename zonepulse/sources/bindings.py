@@ -29,40 +29,43 @@ def hundredths(col: str) -> Column:
     return (F.col(col) * 100.0 + 0.5).cast("long")
 
 
-def raw_trips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Trip records: one per line item, its order giving the day. Amounts are ten-thousandths."""
-    fare = F.expr("cents div 10")
-    tip = F.expr("(cents * discount) div 1000")
-    extra = hundredths("l_tax") * 2500
-    tolls = F.when(F.col("l_partkey") % 10 == 0, F.lit(65500)).otherwise(F.lit(0)).cast("long")
-    start = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 911) % 86400
-    drive = (F.col("l_partkey") * 53 + F.col("l_linenumber") * 7) % 9000
+TRIP_COLUMNS = (
+    "CAST(l_linenumber % 2 + 1 AS string) AS vendor_id",
+    "timestampadd(SECOND, start, o_orderdate) AS pickup_datetime",
+    "timestampadd(SECOND, start + drive, o_orderdate) AS dropoff_datetime",
+    "CAST(l_linenumber - 1 AS bigint) AS passenger_count",
+    "l_quantity / 2D - 1D AS trip_distance",
+    "CAST(l_suppkey % 25 AS string) AS pickup_location_id",
+    "CAST(l_partkey % 25 AS string) AS dropoff_location_id",
+    "l_linestatus AS rate_code",
+    "l_returnflag AS payment_type",
+    "fare / 10000D AS fare_amount",
+    "extra / 10000D AS extra",
+    "0.5D AS mta_tax",
+    "tip / 10000D AS tip_amount",
+    "tolls / 10000D AS tolls_amount",
+    "0.3D AS imp_surcharge",
+    "0D AS airport_fee",
+    "(fare + extra + tip + tolls + 8000) / 10000D AS total_amount",
+)
 
-    def money(units: Column) -> Column:
-        return units / F.lit(10000.0)
 
+def raw_trips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Trip records: one per line item, its order giving the day. Amounts are whole
+    ten-thousandths until the end."""
+    cents, discount = hundredths("l_extendedprice"), hundredths("l_discount")
+    items = lineitem.withColumns({"cents": cents, "discount": discount}).selectExpr(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey", "l_linestatus", "l_returnflag",
+        "(l_orderkey * 37 + l_linenumber * 911) % 86400 AS start",
+        "(l_partkey * 53 + l_linenumber * 7) % 9000 AS drive",
+        "cents div 10 AS fare",
+        "(cents * discount) div 1000 AS tip",
+        "CAST(l_tax * 100D + 0.5D AS bigint) * 2500 AS extra",
+        "CASE WHEN l_partkey % 10 = 0 THEN 65500L ELSE 0L END AS tolls",
+    )
     # Two tables that grow together: neither is ever broadcast.
     days = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate").hint("merge")
-    items = lineitem.withColumns({"cents": hundredths("l_extendedprice"), "discount": hundredths("l_discount")})
-    return items.join(days, "l_orderkey").select(
-        (F.col("l_linenumber") % 2 + 1).cast("string").alias("vendor_id"),
-        plus_seconds(F.col("o_orderdate"), start).alias("pickup_datetime"),
-        plus_seconds(F.col("o_orderdate"), start + drive).alias("dropoff_datetime"),
-        (F.col("l_linenumber") - 1).cast("long").alias("passenger_count"),
-        (F.col("l_quantity") / 2.0 - 1.0).alias("trip_distance"),
-        (F.col("l_suppkey") % 25).cast("string").alias("pickup_location_id"),
-        (F.col("l_partkey") % 25).cast("string").alias("dropoff_location_id"),
-        F.col("l_linestatus").alias("rate_code"),
-        F.col("l_returnflag").alias("payment_type"),
-        money(fare).alias("fare_amount"),
-        money(extra).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        money(tip).alias("tip_amount"),
-        money(tolls).alias("tolls_amount"),
-        F.lit(0.3).alias("imp_surcharge"),
-        F.lit(0.0).alias("airport_fee"),
-        money(fare + extra + tip + tolls + F.lit(8000)).alias("total_amount"),
-    )
+    return items.join(days, "l_orderkey").selectExpr(*TRIP_COLUMNS)
 
 
 def zones(nation: DataFrame, region: DataFrame) -> DataFrame:
