@@ -172,13 +172,20 @@ def test_lags_count_rows_not_hours(frame):
 def test_blocks_give_the_same_features(frame, size):
     df = series(frame)
     plain = W.series_features(df, "k", "t", "n", LAGS, ROLLS)
-    split = W.series_features(df, "k", "t", "n", LAGS, ROLLS, F.date_trunc("week", "t"), size)
+    split = W.series_features(df, "k", "t", "n", LAGS, ROLLS, size)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.select(plain.columns).collect()))
+
+
+def test_blocks_with_null_keys_and_ties(spark):
+    df = spark.range(500).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("k"), (F.col("id") % 7).alias("t"), (F.col("id") * 3).alias("n"))
+    plain = W.series_features(df, "k", ["t", "id"], "n", LAGS, ROLLS)
+    split = W.series_features(df, "k", ["t", "id"], "n", LAGS, ROLLS, 30)
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.select(plain.columns).collect()))
 
 
 def test_block_must_hold_the_longest_lag(frame):
     with pytest.raises(ValueError):
-        W.series_features(series(frame), "k", "t", "n", LAGS, ROLLS, F.to_date("t"), 10)
+        W.series_features(series(frame), "k", "t", "n", LAGS, ROLLS, 10)
 
 
 @pytest.mark.parametrize("rows", [3, 5, 7, 1000])

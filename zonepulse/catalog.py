@@ -63,7 +63,7 @@ def hourly_features(w: Warehouse) -> DataFrame:
 
 @query
 def hourly_features_blocked(w: Warehouse) -> DataFrame:
-    return w.event_features(chunk=F.to_date("timestamp_hour"), block_rows=400)
+    return w.event_features(block_rows=400)
 
 
 @query
@@ -76,6 +76,15 @@ def hourly_features_trips(w: Warehouse) -> DataFrame:
     return w.features()
 
 
+@query
+def event_value_lags(w: Warehouse) -> DataFrame:
+    # A raw series: the rows per event type grow with the table, so blocks are a must.
+    rows = w.table("events").select("event_id", "event_type", "ts", F.col("value").cast("decimal(18,4)").alias("value"))
+    lags, rolls = {"value_1_ago": 1, "value_100_ago": 100}, {"avg_of_10": 10}
+    out = W.series_features(rows, "event_type", ["ts", "event_id"], "value", lags, rolls, block_rows=5000)
+    return rounded(out, ["avg_of_10"], 4)
+
+
 @query
 def features_after_warmup(w: Warehouse) -> DataFrame:
     rows = P.skip_warmup(w.event_features(), "timestamp_hour", 168)
@@ -474,7 +483,7 @@ def active_trips(w: Warehouse) -> DataFrame:
 
 @query
 def recent_feed(w: Warehouse) -> DataFrame:
-    return I.recent_feed(w.table("events").select("event_id", "ts", "event_type", "value"), "ts", "5 hours")
+    return I.recent_feed(w.table("events").select("event_id", "ts", "event_type", "value"), "ts", "5 hours", then=["event_id"])
 
 
 @query
@@ -528,6 +537,12 @@ def fare_model_quotes(w: Warehouse) -> DataFrame:
     return quotes.select("request_id", "pickup_cell", "dropoff_cell", "trip_distance", "predicted_fare_amount")
 
 
+@query
+def zone_standardized(w: Warehouse) -> DataFrame:
+    scaled, names = M.standardize(stash(zone_table(w)), M.PCA_FEATURES)
+    return rounded(scaled.select("pickup_cell", *[F.col(z).alias(f"z_{c}") for c, z in names.items()]), [f"z_{c}" for c in names])
+
+
 @query
 def pca_zones(w: Warehouse) -> DataFrame:
     return M.pca_report(zone_table(w))["zones"]

@@ -10,9 +10,8 @@ from zonepulse.session import stash
 
 
 def series_features(
-    df: DataFrame, key: str, order: str, value: str,
-    lags: Mapping[str, int], rolls: Mapping[str, int],
-    chunk: Column | None = None, block_rows: int | None = None,
+    df: DataFrame, key: str, order: str | Sequence[str], value: str,
+    lags: Mapping[str, int], rolls: Mapping[str, int], block_rows: int | None = None,
 ) -> DataFrame:
     """Adds lags {name: n rows back} and rolling means {name: n rows} of `value` per key.
 
@@ -20,12 +19,12 @@ def series_features(
     frames at the start average what is there.
 
     All features share one sort per key. That fits a pre-aggregated series, whose keys hold at
-    most one row per hour of the calendar. For raw series with unbounded keys pass `chunk`, a
-    column that grows with `order` (such as the day); the rows of a key are then numbered over
-    chunks, cut into blocks of `block_rows`, and each block is computed on its own together
-    with a copy of the few rows before it. Results are the same.
+    most one row per hour of the calendar. For series with unbounded keys pass `block_rows`:
+    the rows of a key are then numbered, cut into blocks of that many rows, and each block is
+    computed on its own together with a copy of the few rows before it. Results are the same.
     """
     halo = max([*lags.values(), *[n - 1 for n in rolls.values()], 1])
+    order = [order] if isinstance(order, str) else list(order)
 
     def features(w) -> dict[str, Column]:
         out = {name: F.lag(value, n).over(w) for name, n in lags.items()}
@@ -33,38 +32,48 @@ def series_features(
             out[name] = F.avg(value).over(w.rowsBetween(-(n - 1), Window.currentRow))
         return out
 
-    if chunk is None:
-        return df.withColumns(features(Window.partitionBy(key).orderBy(order)))
-
-    size = block_rows or max(100_000, 4 * halo)
-    if size < halo:
+    if block_rows is None:
+        return df.withColumns(features(Window.partitionBy(key).orderBy(*order)))
+    if block_rows < halo:
         raise ValueError(f"block_rows must be at least {halo}")
-    numbered = number_rows(df, key, order, chunk, "__pos")
-    block = F.floor(F.col("__pos") / size)
-    tail = F.col("__pos") % size >= size - halo
+    block = F.floor(F.col("__pos") / block_rows)
+    tail = F.col("__pos") % block_rows >= block_rows - halo
     copies = F.when(tail, F.array(block, block + 1)).otherwise(F.array(block))
-    spread = numbered.withColumn("__block", F.explode(copies))
-    w = Window.partitionBy(key, "__block").orderBy("__pos")
-    done = spread.withColumns(features(w))
+    spread = number_rows(df, key, order, "__pos").withColumn("__block", F.explode(copies))
+    done = spread.withColumns(features(Window.partitionBy(key, "__block").orderBy("__pos")))
     return done.where(F.col("__block") == block).drop("__pos", "__block")
 
 
-def number_rows(df: DataFrame, key: str, order: str, chunk: Column, out: str) -> DataFrame:
-    """Position of each row within its key (from 0), without sorting a whole key in one task."""
-    cut = df.withColumn("__chunk", chunk)
-    w = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        cut.groupBy(key, "__chunk")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(key, "__chunk", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
+def sorted_parts(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows in global order, stored once, with their part and their place in it.
+
+    Ranges are cut by sampling on all of `by`, so a value that fills many parts is spread over
+    them by the columns after it. Stored, because counting and using the places must see the
+    same parts.
+    """
+    places = {
+        "__part": F.spark_partition_id(),
+        "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    }
+    return stash(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns(places), "sorted")
+
+
+def number_rows(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
+    """Position of each row within its key (from 0) without a task ever holding a whole key.
+
+    A key's rows lie in consecutive parts; only their counts per part are added up.
+    """
+    parts = sorted_parts(df, [key, *order])
+    earlier = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        parts.groupBy(key, "__part")
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+        .select(key, "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
     )
-    local = F.row_number().over(Window.partitionBy(key, "__chunk").orderBy(order))
-    return (
-        cut.withColumn("__local", local)
-        .join(before, [key, "__chunk"])
-        .withColumn(out, F.col("__before") + F.col("__local") - 1)
-        .drop("__chunk", "__local", "__before")
+    matched = parts.withColumnRenamed(key, "__key").join(
+        spans, F.col("__key").eqNullSafe(F.col(key)) & (parts["__part"] == spans["__part"])
     )
+    return matched.select(*df.columns, (F.col("__place") + F.col("__shift")).alias(out))
 
 
 def add_change(df: DataFrame, value: str, lag: str, out: str) -> DataFrame:
@@ -105,21 +114,11 @@ def _bucket(df: DataFrame, col: str, tiebreak: str, n: int) -> Column:
 def bucket_starts(df: DataFrame, col: str, tiebreak: str, n: int) -> list[tuple]:
     """First row (value, tiebreak) of buckets 2..n under NTILE's sizes.
 
-    The sorted keys are written once, so that counting and picking see the same partitions.
-    Only one count per partition and n - 1 rows come to the driver.
+    Only one count per part and n - 1 rows come to the driver.
     """
-    part_pos = [
-        F.spark_partition_id().alias("__part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__pos"),
-    ]
-    ranked = stash(
-        df.select(col, tiebreak)
-        .repartitionByRange(F.col(col), F.col(tiebreak))
-        .sortWithinPartitions(col, tiebreak)
-        .select(col, tiebreak, *part_pos),
-        "ranked",
-    )
-    sizes = sorted((r["__part"], r["n"]) for r in ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())
+    ranked = sorted_parts(df.select(col, tiebreak), [col, tiebreak])
+    counts = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = sorted((r["__part"], r["n"]) for r in counts)
     total = sum(size for _, size in sizes)
     starts = [i * (total // n) + min(i, total % n) for i in range(1, n)]
     wanted, offset = [], 0
@@ -129,9 +128,9 @@ def bucket_starts(df: DataFrame, col: str, tiebreak: str, n: int) -> list[tuple]
     if not wanted:
         return []
     hit = F.lit(False)
-    for part, pos in wanted:
-        hit = hit | ((F.col("__part") == part) & (F.col("__pos") == pos))
-    rows = ranked.where(hit).orderBy("__part", "__pos").collect()
+    for part, place in wanted:
+        hit = hit | ((F.col("__part") == part) & (F.col("__place") == place))
+    rows = ranked.where(hit).orderBy("__part", "__place").collect()
     return [(r[col], r[tiebreak]) for r in rows]
 
 

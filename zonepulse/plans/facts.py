@@ -87,17 +87,16 @@ def hourly_demand(facts: DataFrame, dates: DataFrame, weather: DataFrame) -> Dat
 
 
 def hourly_features(
-    demand: DataFrame, dates: DataFrame, cell: str = "pickup_cell",
-    chunk: Column | None = None, block_rows: int | None = None,
+    demand: DataFrame, dates: DataFrame, cell: str = "pickup_cell", block_rows: int | None = None
 ) -> DataFrame:
     """Calendar parts, lags, rolling means, daily change and the rain-in-rush-hour flag.
 
     A cell has at most one row per hour of the calendar here, so one sorted run per cell
-    stays small however many trips it had; `chunk` and `block_rows` split it nevertheless.
+    stays small however many trips it had; `block_rows` splits it nevertheless.
     """
     parts = dates.select("full_date", "month", "quarter", "day_of_year")
     dated = join_date(demand, parts, "timestamp_hour")
-    rich = series_features(dated, cell, "timestamp_hour", "total_pickups", LAGS, ROLLS, chunk, block_rows)
+    rich = series_features(dated, cell, "timestamp_hour", "total_pickups", LAGS, ROLLS, block_rows)
     rich = add_change(rich, "total_pickups", "pickups_24h_ago", "pickups_change_24h")
     return rich.withColumn("rain_during_rush_hour", band_flag("had_rain", "hour_of_day")).select(
         "total_pickups", cell, "timestamp_hour",

@@ -130,8 +130,8 @@ class Warehouse:
     def event_demand(self) -> DataFrame:
         return facts.hourly_demand(self.event_facts(), self.event_dates, self.weather)
 
-    def event_features(self, **blocks) -> DataFrame:
-        return facts.hourly_features(self.event_demand(), self.event_dates, **blocks)
+    def event_features(self, block_rows: int | None = None) -> DataFrame:
+        return facts.hourly_features(self.event_demand(), self.event_dates, block_rows=block_rows)
 
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}

@@ -179,6 +179,7 @@ def score_stream(stream: DataFrame, model: PipelineModel, prediction: str = "pre
     return predict(model, stream).withColumn("surge", surge(prediction))
 
 
-def recent_feed(df: DataFrame, ts: str, interval: str = "5 minutes", as_of=None) -> DataFrame:
-    """The latest rows, newest first."""
-    return last_interval(df, ts, interval, as_of).orderBy(F.desc(ts))
+def recent_feed(df: DataFrame, ts: str, interval: str = "5 minutes", as_of=None, then: Sequence[str] = ()) -> DataFrame:
+    """The latest rows, newest first; `then` orders rows of the same instant, which also lets
+    the sort split them."""
+    return last_interval(df, ts, interval, as_of).orderBy(F.desc(ts), *then)
