@@ -35,6 +35,25 @@ def test_queries_without_twin_run(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
 
 
+LAZY = (
+    "hourly_features", "hourly_demand_trips", "hourly_features_trips", "fct_trips", "conform_trips", "unify_trips",
+    "zone_volume", "vendor_hourly", "parent_cells", "density_rank", "station_rollup", "weather_json", "surge_tiers",
+    "last_hour_summary", "active_trips", "top_parts_per_brand", "semi_join_active", "distinct_cells",
+)
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_plans_stay_hash_based(spark, name):
+    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    for costly in ("SortAggregate", "CartesianProduct", "NestedLoop", "Python", "Exchange SinglePartition, REPARTITION"):
+        assert costly not in plan
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = entry.queries()["hourly_demand_trips"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "l_shipdate" not in plan and "l_returnflag" not in plan and "o_totalprice" not in plan
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "pickups_24h_ago" in df.columns

@@ -25,6 +25,10 @@ def test_quality_filters(frame):
     assert pairs(P.in_ranges(frame(rows, "id int, d double, p long, t double, z string"), {"t": (0, 5.5)}), "id") == [(1,), (2,), (3,), (5,), (6,)]
 
 
+def test_presence_of_numbers(frame):
+    assert P.require_present(frame([(1,), (None,)], "id long"), ["id"]).count() == 1
+
+
 def stamps(frame):
     times = ["2024-12-31 23:59:59", "2025-01-01 00:00:00", "2025-01-02 23:59:59.5", "2025-01-03 00:00:00", "2025-12-31 23:00:00"]
     rows = [(i, datetime.fromisoformat(t)) for i, t in enumerate(times)]

@@ -26,7 +26,7 @@ def require_positive(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def require_present(df: DataFrame, cols: Sequence[str], allow_empty: bool = False) -> DataFrame:
-    test = "`{c}` IS NOT NULL" if allow_empty else "`{c}` IS NOT NULL AND `{c}` != ''"
+    test = "`{c}` IS NOT NULL" if allow_empty else "`{c}` IS NOT NULL AND CAST(`{c}` AS string) != ''"
     return df.where(" AND ".join(test.format(c=c) for c in cols))
 
 

@@ -6,16 +6,19 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from zonepulse.functions import fixed
 from zonepulse.functions.scalars import (
     cast_to, f_to_c, flag, has_word, in_words, inch_to_mm, round_to,
 )
-from zonepulse.functions.times import day_of, from_epoch, shift_days, shift_years
-from zonepulse.operators.aggregates import exact_avg
+from zonepulse.functions.times import day_of, from_epoch, shift_days, shift_years, stamp
+from zonepulse.operators.aggregates import coverage, exact_avg
+from zonepulse.operators.ordering import random_n
 from zonepulse.operators.prep import (
     conform, date_between, require_positive, require_present, time_range, where_in,
 )
+from zonepulse.sources.sinks import append
 
 NUMERIC = "decimal(18,4)"
 MEASURES = ("trip_distance", "passenger_count", "total_amount")
@@ -185,3 +188,22 @@ def backfill_rows(source: DataFrame, day_first: str, day_last: str, shift: int)
     return good.withColumns(
         {c: shift_days(c, shift) for c in ("pickup_datetime", "dropoff_datetime")}
     )
+
+
+def backfill(
+    source: DataFrame, path: str, schema: StructType, day_first: str, day_last: str, shift: int,
+    n: int | None = None, seed: int = 0, keys: Sequence[str] = (), as_of=None,
+) -> DataFrame:
+    """Appends cleaned and shifted rows to a landing table and returns its coverage.
+
+    With `n` a random sample of exactly that many rows, drawn by `keys`; columns the source
+    lacks are NULL in the table.
+    """
+    rows = backfill_rows(source, day_first, day_last, shift)
+    if n is not None:
+        rows = random_n(rows, n, seed, keys)
+    if "processing_timestamp" in schema.names:
+        rows = rows.withColumn("processing_timestamp", stamp(as_of).cast("timestamp_ntz"))
+    append(rows, path, schema)
+    landed = source.sparkSession.read.schema(schema).parquet(path)
+    return coverage(landed, "pickup_location_id", "pickup_datetime")

@@ -47,8 +47,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path on every call, so that runs never meet."""
-    return f"{scratch_root(spark)}/zonepulse/{label}-{uuid.uuid4().hex}"
+    """A new path on every call, so that runs never meet; one folder per application, which can
+    be removed as a whole once the application has ended."""
+    return f"{scratch_root(spark)}/zonepulse/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stash(df: DataFrame, label: str = "stash") -> DataFrame:
