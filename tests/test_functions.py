@@ -138,9 +138,11 @@ def test_messages_roundtrip(frame):
 
 
 def test_jitter_stays_in_band(spark):
-    df = spark.range(1000).select(S.jitter(F.lit(100.0), 0.1, 7).alias("x"))
-    low, high = df.agg(F.min("x"), F.max("x")).first()
-    assert 90 <= low < 92 and 108 < high <= 110
+    df = spark.range(1000).select("id", S.jitter(F.lit(100.0), 0.1, 7, ["id"]).alias("x"))
+    low, high, mean = df.agg(F.min("x"), F.max("x"), F.avg("x")).first()
+    assert 90 <= low < 92 and 108 < high < 110 and abs(mean - 100) < 1
+    other = spark.range(1000).repartition(3).select("id", S.jitter(F.lit(100.0), 0.1, 7, ["id"]).alias("x"))
+    assert df.exceptAll(other).count() == 0
 
 
 # --- places -------------------------------------------------------------------------------

@@ -28,6 +28,13 @@ def test_layers_and_views(spark, frame):
     assert TB.read_table(spark, "facts_m").count() == 1
 
 
+def test_layer_namespaces(spark):
+    name = K.ensure_layer(spark, " zp_layer ")
+    assert name == "zp_layer" and K.ensure_layer(spark, "zp_layer") == name
+    assert spark.catalog.databaseExists(name)
+    spark.sql(f"DROP DATABASE {name}")
+
+
 def test_landing_table(spark, tmp_path):
     path, schema = str(tmp_path / "landing"), StructType.fromDDL("a string, b double, c long")
     assert K.ensure_table(spark, path, schema).count() == 0

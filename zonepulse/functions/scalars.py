@@ -93,12 +93,21 @@ def rush_ratio(morning, evening, average) -> Column:
     return F.try_divide(top, F.coalesce(as_col(average), F.lit(1.0)))
 
 
-def jitter(col, noise: float, seed: int | None = None) -> Column:
-    """Multiply by a uniform factor in [1 - noise, 1 + noise); noise 0 leaves the value alone."""
+def uniform(seed: int, *keys) -> Column:
+    """Uniform number in [0, 1) from a hash of the keys: a task that runs again draws the same,
+    which a random generator bound to the order of rows does not promise."""
+    steps = 1 << 53
+    draw = F.pmod(F.xxhash64(F.lit(seed), *[as_col(k) for k in keys]), F.lit(steps))
+    return draw / F.lit(float(steps))
+
+
+def jitter(col, noise: float, seed: int, keys) -> Column:
+    """Multiply by a uniform factor in [1 - noise, 1 + noise), drawn per row from `keys`; noise 0
+    leaves the value alone."""
     col = as_col(col)
     if not noise:
         return col
-    return col.cast("double") * (1.0 + (F.rand(seed) - 0.5) * 2.0 * noise)
+    return col.cast("double") * (1.0 + (uniform(seed, *keys) - 0.5) * 2.0 * noise)
 
 
 def scale_between(ratio, low: float, high: float) -> Column:

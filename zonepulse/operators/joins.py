@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonepulse.functions.scalars import as_col, place_label
+from zonepulse.functions.scalars import as_col, place_label, uniform
 
 # A dimension of this many narrow rows is a few dozen MB, safe to send to every executor.
 BROADCAST_ROWS = 200_000
@@ -103,7 +103,7 @@ def complete_grid(
     else:
         low = F.coalesce(F.floor(F.col("__mean") * bounds[0]), F.lit(fallback[0]))
         high = F.coalesce(F.floor(F.col("__mean") * bounds[1]), F.lit(fallback[1]))
-        filler = low + F.floor(F.rand(seed) * F.greatest(high - low, F.lit(1)))
+        filler = low + F.floor(uniform(seed, key, period) * F.greatest(high - low, F.lit(1)))
     filled = F.coalesce(F.col(value), filler).cast("long").alias(value)
     return grid.join(present, [key, period], "left").select(key, period, filled)
 

@@ -28,6 +28,10 @@ TRAINING_COLUMNS = (
     "fare_amount", "passenger_count", "trip_distance", "trip_duration_seconds",
     "picked_up_at", "pickup_cell", "dropoff_cell", "datetime_id", "weather_date",
 )
+NOISE_KEYS = (
+    "picked_up_at", "trip_duration_seconds", "passenger_count", "trip_distance", "fare_amount",
+    "pickup_cell", "dropoff_cell",
+)
 FARE_RANGES = {
     "fare_amount": (0, None),
     "trip_duration_seconds": (60, 7200),
@@ -132,7 +136,7 @@ def fare_training(
     sky = weather.select("weather_date", "avg_temp_celsius", "total_precipitation_mm", "had_rain", "had_snow")
     joined = trips.join(days, "datetime_id", "left").join(sky, "weather_date", "left")
     return join_hourly_demand(joined, demand).select(
-        jitter(F.col("fare_amount").cast("double"), noise, seed).alias("fare_amount"),
+        jitter(F.col("fare_amount").cast("double"), noise, seed, NOISE_KEYS).alias("fare_amount"),
         "passenger_count",
         F.col("trip_distance").cast("double").alias("trip_distance"),
         "trip_duration_seconds",
