@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonepulse.llm import sharding, topk, warc
+from zonepulse.llm import neardup, sharding, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
+        neardup.op1_order_minhash,
         warc.op3_warc_index_merge,
         sharding.op4_hilbert_sharding,
         topk.op6_segment_top_k,
