@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonepulse.llm import neardup, sharding, topk, warc
+from zonepulse.llm import langid, neardup, packing, sharding, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
@@ -14,7 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         neardup.op1_order_minhash,
         warc.op3_warc_index_merge,
         sharding.op4_hilbert_sharding,
+        packing.op5_pattern_packing,
         topk.op6_segment_top_k,
+        toxicity.op7_noisy_channel,
+        langid.op8_output_codes,
     )
 }
 SQL: dict[str, str] = {**warc.SQL, **topk.SQL}
