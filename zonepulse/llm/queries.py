@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonepulse.llm import langid, neardup, packing, sharding, topk, toxicity, warc
+import corpus_pipeline
+from zonepulse.llm import ann, langid, licences, neardup, packing, sharding, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         neardup.op1_order_minhash,
+        licences.op2_diagonal_voting,
         warc.op3_warc_index_merge,
         sharding.op4_hilbert_sharding,
         packing.op5_pattern_packing,
         topk.op6_segment_top_k,
         toxicity.op7_noisy_channel,
         langid.op8_output_codes,
+        ann.op10_multi_index,
     )
 }
-SQL: dict[str, str] = {**warc.SQL, **topk.SQL}
+QUERIES["pipeline"] = corpus_pipeline.run
+SQL: dict[str, str] = {**licences.SQL, **warc.SQL, **topk.SQL}
