@@ -45,7 +45,7 @@ SWAP, SKIP_REPEAT, SKIP_SEPARATOR = 0.5, 0.7, 0.2
 
 _STRIP = " .,;:!?*%&#$\"'()[]{}|<>/\\-_~`…«»“”’‘¿¡@+"
 _PLAIN = re.compile(r"[^\W\d_]+")
-_STRETCHED = re.compile(r"(.)\1\1")
+_STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"(?<![^\s])[^\s](?:[ ][^\s]){2,}(?![^\s])")
 _LETTER = re.compile(r"[^\W\d_]")
 _INNER = re.compile(r"^[^\W_](?:[ .\-_*~'`,/]+[^\W_])+$")
@@ -84,7 +84,10 @@ class Model:
             if len(self.known) > 300_000:
                 self.known.clear()
             words = set(plain_words(token))
-            if _disguised(token):
+            core = token.strip(_STRIP)
+            # Signs after a whole word are no disguise of it; one before it may be its first letter.
+            odd = token[0] in STANDS_FOR or _STRETCHED.search(core) if core.isalpha() else _disguised(token)
+            if odd:
                 words |= {decode(form, self) for form in (token, token.strip(_STRIP)) if 2 < len(form) <= 64}
             found = self.known[token] = tuple(sorted({f for w in words for f in features(w) if f in self.weights}))
         return found
@@ -136,7 +139,10 @@ def plain_words(token: str) -> list[str]:
 def score_text(text: str | None, model: Model) -> tuple[float, int]:
     """Probability that a text is labelled toxic, and how many weighted features it has."""
     low = (text or "").lower()
-    found = {f for token in (*set(low.split()), *set(_APART.findall(low))) for f in model.hits(token)}
+    apart = set(_APART.findall(low))
+    # A word of one letter may stand next to letters set apart.
+    apart |= {run[a : len(run) - b] for run in apart for a in (0, 2) for b in (0, 2) if len(run) - a - b >= 5}
+    found = {f for token in (*set(low.split()), *apart) for f in model.hits(token)}
     log_odds = max(model.weights[f] for f in found) + MORE * (len(found) - 1) if found else model.base
     return float(1 / (1 + np.exp(-min(log_odds, 30.0)))), len(found)
 
