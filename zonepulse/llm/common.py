@@ -33,31 +33,39 @@ def number_all(df: DataFrame, by: Sequence[str], out: str) -> tuple[DataFrame, i
     return placed.select(*df.columns, (F.col("__place") + F.col("__shift")).alias(out)), total
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, comp) for every id in `edges` (a, b): comp is the smallest id it is linked to.
+def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(id, comp) of every id that `edges` (a, b) link to a smaller one: comp is the smallest.
 
-    Each round hooks every component to its smallest neighbour, follows the hooks to their
-    end and keeps only the edges between components that are still apart. All of it stays in
-    tables; each round is written to the shared folder, which cuts the lineage.
+    An id that is not in the result is its own component. `labels`, an earlier result, is
+    carried on: only the new edges are followed. Each round hooks every component to its
+    smallest neighbour, follows the hooks to their end and keeps only the edges between
+    components that are still apart. All of it stays in tables; each round is written to the
+    shared folder, which cuts the lineage.
     """
-    edges = stash(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), "edges")
-    labels = stash(edges.select(F.explode(F.array("lo", "hi")).alias("id")).distinct().withColumn("comp", F.col("id")), "labels")
+
+    def apart(rows: DataFrame, to: DataFrame | None) -> DataFrame:
+        """Edges (lo, hi) between the components that `to` (id, comp) names."""
+        a, b = F.col("a"), F.col("b")
+        if to is not None:
+            left = to.select(F.col("id").alias("a"), F.col("comp").alias("to_a"))
+            right = to.select(F.col("id").alias("b"), F.col("comp").alias("to_b"))
+            rows = rows.join(left, "a", "left").join(right, "b", "left")
+            a, b = F.coalesce("to_a", "a"), F.coalesce("to_b", "b")
+        return stash(rows.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi"), "edges")
+
+    edges = apart(edges, labels)
+    if labels is None:
+        labels = edges.select(F.col("hi").alias("id"), F.col("lo").alias("comp")).where(F.lit(False))
     while not edges.isEmpty():
-        hooks = stash(edges.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("up")), "hooks")
+        hooks = stash(edges.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("comp")), "hooks")
         while True:
-            above = hooks.select(F.col("id").alias("up"), F.col("up").alias("top"))
-            jumped = hooks.join(above, "up", "left")
+            above = hooks.select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+            jumped = hooks.join(above, "comp", "left")
             if jumped.where("top IS NOT NULL").isEmpty():
                 break
-            hooks = stash(jumped.select("id", F.coalesce("top", "up").alias("up")), "hooks")
-        to = hooks.select(F.col("id").alias("comp"), "up")
-        labels = stash(labels.join(to, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp")), "labels")
-        lo = hooks.select(F.col("id").alias("lo"), F.col("up").alias("lo_up"))
-        hi = hooks.select(F.col("id").alias("hi"), F.col("up").alias("hi_up"))
-        moved = edges.join(lo, "lo", "left").join(hi, "hi", "left").select(
-            F.coalesce("lo_up", "lo").alias("x"), F.coalesce("hi_up", "hi").alias("y")
-        )
-        edges = stash(
-            moved.where("x <> y").select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct(), "edges"
-        )
+            hooks = stash(jumped.select("id", F.coalesce("top", "comp").alias("comp")), "hooks")
+        to = hooks.select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+        moved = labels.join(to, "comp", "left").select("id", F.coalesce("top", "comp").alias("comp"))
+        labels = stash(moved.unionByName(hooks), "labels")
+        edges = apart(edges.select(F.col("lo").alias("a"), F.col("hi").alias("b")), hooks)
     return labels
