@@ -1,6 +1,6 @@
 """Licence scan by diagonal voting, in DataFrame functions only.
 
-All rolling word pairs of the texts meet the word pairs of a few licence notices. A hit votes
+The hashes of all rolling word pairs of the texts meet those of a few licence notices. A hit votes
 for the diagonal (place in the text less place in the notice). Votes are gathered per diagonal
 as bits of the notice's pairs; neighbouring diagonals, which differ by a word put in or left
 out, are merged; a notice is there if enough of its pairs are. Words themselves are compared
@@ -43,12 +43,13 @@ NOTICES = {
     "licensed under cc by sa 4 0": "cc-by-sa",
     "creative commons attribution": "cc-by",
 }
-_MARK = "\x01"
+#: Code of the entry that stands for a document.
+_MARK = -(1 << 62)
 
 
 def _templates() -> list[tuple[int, str, bool, int, int, str]]:
     """(number, label, base, pairs, place, pair) of every word pair; number -1 marks a document."""
-    rows: list[tuple[int, str, bool, int, int, str]] = [(-1, "", False, 0, 0, _MARK)]
+    rows: list[tuple[int, str, bool, int, int, str]] = [(-1, "", False, 0, 0, "")]
     for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items()]):
         words = phrase.split()
         for place, pair in enumerate(zip(words, words[1:])):
@@ -70,14 +71,19 @@ def licence_scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     body = F.col(f"`{text}`")
     split = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("h"), words_of(body).alias("w"))
     after = F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0)))
-    pairs = F.zip_with("w", after, lambda a, b: F.concat_ws(" ", a, b))
-    pairs = split.select("k", "h", F.size("w").cast("long").alias("n_words"), F.posexplode(F.concat(pairs, F.array(F.lit(_MARK)))).alias("pos", "pair"))
-    pairs = pairs.withColumn("code", F.xxhash64("pair"))
+    # The last code of each text, in the place of its last word, stands for the document itself.
+    before = F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0)))
+    codes = F.concat(F.zip_with(before, after, lambda a, b: F.xxhash64(a, b)), F.array(F.lit(_MARK)))
+    pairs = split.select("k", "h", "w", F.size("w").cast("long").alias("n_words"), F.posexplode(codes).alias("pos", "code"))
     found = docs.sparkSession.createDataFrame(_templates(), "tpl int, label string, base boolean, size int, place int, t_pair string")
-    # About 150 rows, fixed above.
-    found = F.broadcast(found.withColumn("t_code", F.xxhash64("t_pair")))
-    hits = pairs.join(found, (F.col("code") == F.col("t_code")) & (F.col("pair") == F.col("t_pair")))
+    both = F.split("t_pair", " ")
+    found = found.select("tpl", "label", "base", "size", "place", F.get(both, F.lit(0)).alias("t_word"), F.get(both, F.lit(1)).alias("t_next"))
     mark = F.col("tpl") == -1
+    # About 150 rows, fixed above.
+    found = F.broadcast(found.withColumn("t_code", F.when(mark, F.lit(_MARK)).otherwise(F.xxhash64("t_word", "t_next"))))
+    alike = (F.get("w", F.col("pos")) == F.col("t_word")) & (F.get("w", F.col("pos") + 1) == F.col("t_next"))
+    is_last = F.col("pos") == F.greatest(F.col("n_words") - 1, F.lit(0))
+    hits = pairs.join(found, (F.col("code") == F.col("t_code")) & F.when(mark, is_last).otherwise(alike & ~is_last))
     diagonal = F.when(mark, 0).otherwise(F.col("pos") - F.col("place"))
     votes = hits.groupBy("k", "h", "n_words", "tpl", "label", "base", "size", diagonal.alias("diag")).agg(
         F.expr("bit_or(shiftleft(1L, place))").alias("bits"), F.count(F.lit(1)).alias("n")
