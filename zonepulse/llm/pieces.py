@@ -55,22 +55,32 @@ class Pieces:
         self.join_ranks = np.array([joins[k] for k in self.join_keys.tolist()], np.int64)
         # Shorter pieces come first, as the halves of a piece must be known before it.
         self.longest = max(map(len, words))
-        for name in sorted(order, key=len):
-            for cut in range(1, len(name)):
-                a, b = words.get(name[:cut]), words.get(name[cut:])
-                if a is not None and b is not None and self.rank[a] < self.rank[words[name]] and self.rank[b] < self.rank[words[name]]:
-                    self.left[words[name]], self.right[words[name]] = a, b
-                    if self._follows(np.array([a]), np.array([b]), np.array([self.rank[words[name]]]))[0]:
-                        break
+        sizes: dict[int, list[str]] = {}
+        for name in order:
+            sizes.setdefault(len(name), []).append(name)
+        for size, open_ in sorted(sizes.items()):
+            for cut in range(1, size):
+                halves = [(words[name], words.get(name[:cut], n), words.get(name[cut:], n)) for name in open_]
+                whole, a, b = np.array(halves, np.int64).T
+                rank = self.rank[whole]
+                fits = (a < n) & (b < n) & (self.rank[a] < rank) & (self.rank[b] < rank)
+                self.left[whole[fits]], self.right[whole[fits]] = a[fits], b[fits]
+                fits[fits] = self._follows(a[fits], b[fits], rank[fits])
+                open_ = [name for name, found in zip(open_, fits) if not found]
+                if not open_:
+                    break
         codes = np.array([self._hash([ord(c) for c in name]) for name in words], np.uint64)
         sort = np.argsort(codes)
         self.codes, self.ids = codes[sort], np.fromiter(words.values(), np.int64, len(words))[sort]
         if len(np.unique(codes)) < len(codes):
             raise ValueError("two pieces have one hash")
+        #: Whether any piece's code has these first bits; most substrings are out by that.
+        self.begins = np.zeros(1 << 20, bool)
+        self.begins[codes >> np.uint64(44)] = True
         text = {i: name.replace(SPACE, " ").encode() for name, i in names.items()}
         text |= {i: bytes([b]) for b, i in enumerate(self.bytes)}
         self.text = [text.get(i, b"") for i in range(n)]
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def _hash(points: list[int]) -> int:
@@ -115,8 +125,8 @@ class Pieces:
         pairs, back = np.unique(a * (self.unknown + 1) + b, return_inverse=True)
         return self._follows(*np.divmod(pairs, self.unknown + 1))[back]
 
-    def search(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of one length (those of unknown letters are `unknown`)."""
+    def search(self, words: list[str]) -> list[bytes]:
+        """Ids of words of one length, as little-endian 32-bit numbers."""
         length, n = len(words[0]), len(words)
         points = np.array([[ord(c) for c in w] for w in words], np.uint64).reshape(n, length)
         power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(length, _BASE)])
@@ -128,8 +138,11 @@ class Pieces:
         for end in range(1, length + 1):
             starts = np.arange(max(0, end - self.longest), end)
             codes = (sums[:, end : end + 1] - sums[:, starts]) * inverse[starts]
-            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            piece = np.where(self.codes[at] == codes, self.ids[at], -1)
+            likely = self.begins[codes >> np.uint64(44)]
+            some = codes[likely]
+            at = np.minimum(np.searchsorted(self.codes, some), len(self.codes) - 1)
+            piece = np.full(codes.shape, -1)
+            piece[likely] = np.where(self.codes[at] == some, self.ids[at], -1)
             piece[:, -1] = np.where(piece[:, -1] < 0, self.unknown, piece[:, -1])
             row, col = np.nonzero((piece >= 0) & ((starts == 0) | (last[:, starts] >= 0)))
             here, before = piece[row, col], last[row, starts[col]]
@@ -142,19 +155,21 @@ class Pieces:
             found = score[np.arange(n), best] == 0.0
             last[found, end] = piece[found, best[found]]
             back[found, end] = starts[best[found]]
-        out = []
-        for w in range(n):
-            ids, end = [], length
-            while end:
-                ids.append(last[w, end])
-                end = back[w, end]
-            out.append(np.array(ids[::-1], np.int64))
+        # All words are followed back at once; the places of those already at their start are -1.
+        rows, end, steps = np.arange(n), np.full(n, length), []
+        while end.any():
+            steps.append(np.where(end > 0, last[rows, end], -1))
+            end = np.where(end > 0, back[rows, end], 0)
+        ids = np.stack(steps[::-1], axis=1).astype("<i4")
+        used = ids >= 0
+        data, ends = ids[used].tobytes(), 4 * np.cumsum(used.sum(axis=1))
+        out = [data[first:stop] for first, stop in zip([0, *ends.tolist()], ends.tolist())]
+        for w in np.flatnonzero((ids == self.unknown).any(axis=1)).tolist():
+            out[w] = self._bytes(words[w], ids[w][used[w]])
         return out
 
-    def _bytes(self, word: str, ids: np.ndarray) -> np.ndarray:
+    def _bytes(self, word: str, ids: np.ndarray) -> bytes:
         """Unknown letters become the pieces of their bytes."""
-        if not (ids == self.unknown).any():
-            return ids.astype(np.int32)
         out, at = [], 0
         for i in ids.tolist():
             if i == self.unknown:
@@ -163,49 +178,53 @@ class Pieces:
             else:
                 out.append(i)
                 at += len(self.text[i].decode())
-        return np.array(out, np.int32)
+        return np.array(out, "<i4").tobytes()
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Searches the words that are new, those of equal length together."""
         if len(self.known) > 400_000:
             self.known.clear()
         lengths: dict[int, list[str]] = {}
-        for word in sorted({w for w in words if w not in self.known}):
+        for word in words - self.known.keys():
             lengths.setdefault(len(word), []).append(word)
         for length, some in lengths.items():
             step = max(1, 200_000 // (length + 1))
             for first in range(0, len(some), step):
                 part = some[first : first + step]
-                for word, ids in zip(part, self.search([SPACE + w for w in part])):
-                    self.known[word] = self._bytes(SPACE + word, ids)
+                self.known.update(zip(part, self.search([SPACE + w for w in part])))
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text whose words have been learned."""
+        """Ids of a text; words not yet learned are searched."""
         if not text:
             return np.zeros(0, np.int32)
-        parts = text.replace(SPACE, " ").split(" ")
-        if any(part not in self.known for part in parts):
-            self.learn(parts)
-        ids = np.concatenate([self.known[p] for p in parts])
-        return self._join_spaces(ids) if "" in parts or any(self.known[p][0] == self.spaces[1] for p in parts) else ids
+        parts = _words(text)
+        if not all(map(self.known.__contains__, parts)):
+            self.learn(set(parts))
+        return self._join_spaces(np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<i4"))
 
     def _join_spaces(self, ids: np.ndarray) -> np.ndarray:
         """Runs of lone spaces become the longest pieces of spaces, from the left."""
-        out, run, longest = [], 0, max(self.spaces)
-        for i in [*ids.tolist(), -1]:
-            if i == self.spaces[1]:
-                run += 1
-                continue
-            while run:
-                out.append(self.spaces[min(run, longest)])
-                run -= min(run, longest)
-            out.append(i)
-        return np.array(out[:-1], np.int32)
+        space = ids == self.spaces[1]
+        if not (space[1:] & space[:-1]).any():
+            return ids
+        edges = np.flatnonzero(np.diff(space, prepend=False, append=False))
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        longest = max(self.spaces)
+        left = np.minimum(np.repeat(lengths, lengths) - place, longest)
+        sizes = np.array([self.spaces.get(i, 0) for i in range(longest + 1)], np.int32)
+        out, keep, at = ids.copy(), np.ones(len(ids), bool), np.repeat(starts, lengths) + place
+        out[at], keep[at] = sizes[left], place % longest == 0
+        return out[keep]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode(errors="replace").removeprefix(" ")
 
 
+def _words(text: str) -> list[str]:
+    return text.replace(SPACE, " ").split(" ")
+
+
 _LOADED: dict[str, Pieces] = {}
 
 
@@ -228,7 +247,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", key: str = "doc
             for first in range(0, len(batch), 1_000):
                 some, rows = batch.iloc[first : first + 1_000], []
                 texts = [body or "" for body in some["body"]]
-                pieces.learn(word for body in texts for word in body.replace(SPACE, " ").split(" "))
+                pieces.learn({word for body in texts for word in _words(body)})
                 for value, body in zip(some["key"], texts):
                     ids = pieces.encode(body)
                     rows.append((value, ids.astype("<u4").tobytes(), pieces.decode(ids.tolist())))
