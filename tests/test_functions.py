@@ -53,6 +53,8 @@ def test_conversions(value):
     assert value(S.f_to_c(F.lit(50.3))) == 10.17
     assert value(S.inch_to_mm(F.lit(0.1))) == 2.54
     assert value(S.round_to(F.lit(17.365), 2)) == 17.37
+    assert value(S.round_to(F.lit(2.3449999), 2)) == 2.34
+    assert value(S.round_to(F.lit(0.123456789), 8)) == 0.12345679
     assert value(S.speed_mph(F.lit(10.0), F.lit(1800))) == 20.0
     assert value(S.speed_mph(F.lit(10.0), F.lit(0))) is None
     assert value(S.pct(F.lit(2.0), F.lit(0.0))) == 0.0

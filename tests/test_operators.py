@@ -87,13 +87,6 @@ def test_label_and_match(frame):
     assert pairs(J.where_exists(dim, cells, "cell"), "cell") == [("a",), ("a",)]
 
 
-def test_small_side_checks_the_size(spark):
-    assert J.is_small(spark.range(10), 10) and not J.is_small(spark.range(11), 10)
-    small = J.small_side(spark.range(10), 10)._jdf.queryExecution().analyzed().toString()
-    large = J.small_side(spark.range(11), 10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in small and "broadcast" not in large
-
-
 def test_grid_completion(frame):
     df = frame([("1", 1, 10), ("1", 3, 15), ("2", 9, 7)], "v string, d int, n long")
     zero = J.complete_grid(df, "v", "d", [1, 2, 3], "n")
@@ -192,12 +185,17 @@ def test_block_must_hold_the_longest_lag(frame):
         W.series_features(series(frame), "k", "t", "n", LAGS, ROLLS, 10)
 
 
-@pytest.mark.parametrize("rows", [3, 5, 7, 1000])
-def test_quantiles_beyond_one_task(spark, rows):
+@pytest.mark.parametrize("rows", [0, 3, 5, 7, 1000])
+def test_quantiles_equal_ntile(spark, rows):
     df = spark.range(rows).select("id", (F.col("id") * 7919 % 13).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("y"))
-    plain = W.quantile_scores(df, {"a": "x", "b": "y"}, 5, "id")
-    split = W.quantile_scores(df, {"a": "x", "b": "y"}, 5, "id", single_task_rows=0)
-    assert pairs(plain, "id", "a", "b") == pairs(split, "id", "a", "b")
+    plain = df.withColumns({out: F.ntile(5).over(Window.orderBy(col, "id")) for out, col in {"a": "x", "b": "y"}.items()})
+    assert pairs(W.quantile_scores(df, {"a": "x", "b": "y"}, 5, "id"), "id", "a", "b") == pairs(plain, "id", "a", "b")
+
+
+def test_quantiles_of_rows_alike_keep_their_sizes(spark):
+    df = spark.range(13).select(F.lit(1).alias("x"), F.lit("t").alias("t"), F.lit("u").alias("u"))
+    sizes = W.quantile_scores(df, {"a": "x"}, 5, ("t", "u")).groupBy("a").count()
+    assert pairs(sizes, "a", "count") == [(1, 3), (2, 3), (3, 3), (4, 2), (5, 2)]
 
 
 def test_top_n_cuts_before_the_shuffle(spark):

@@ -298,11 +298,11 @@ def test_rfm_of_nothing(frame):
     assert empty.count() == 0 and parts["totals"].first()["zones"] == 0 and parts["revenue"].count() == 0
 
 
-def test_rfm_quintiles_beyond_one_task(spark):
+def test_rfm_quintiles_have_ntile_sizes(spark):
     from zonepulse.operators.windows import quantile_scores
 
     df = spark.range(1003).select(F.col("id").alias("k"), (F.col("id") * 37 % 11).alias("f"))
-    a = quantile_scores(df, {"s": "f"}, 5, "k", rows=1003, single_task_rows=10)
+    a = quantile_scores(df, {"s": "f"}, 5, "k")
     assert [r["count"] for r in a.groupBy("s").count().orderBy("s").collect()] == [201, 201, 201, 200, 200]
 
 

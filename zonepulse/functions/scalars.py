@@ -46,8 +46,8 @@ def flag(col) -> Column:
 # --- arithmetic ---------------------------------------------------------------------------
 
 def round_to(col, digits: int) -> Column:
-    """Half-up rounding of the decimal value, as double."""
-    return F.round(as_col(col).cast("decimal(24,6)"), digits).cast("double")
+    """Half-up rounding of the number as it is written (2.675 gives 2.68), as double."""
+    return F.round(as_col(col).cast("double"), digits)
 
 
 def safe_div(a, b) -> Column:

@@ -8,20 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from zonepulse.functions.scalars import as_col, place_label, uniform
 
-# A dimension of this many narrow rows is a few dozen MB, safe to send to every executor.
-BROADCAST_ROWS = 200_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counted, but never past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a frame proven small; otherwise Spark picks the join and
-    adaptive execution splits skewed partitions."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     return fact.join(dim, on, how)

@@ -80,58 +80,33 @@ def add_change(df: DataFrame, value: str, lag: str, out: str) -> DataFrame:
     return df.withColumn(out, F.col(value) - F.col(lag))
 
 
-def quantile_scores(
-    df: DataFrame, scores: Mapping[str, str], n: int, tiebreak: str,
-    rows: int | None = None, single_task_rows: int = 200_000,
-) -> DataFrame:
+def quantile_scores(df: DataFrame, scores: Mapping[str, str], n: int, tiebreak: str | Sequence[str]) -> DataFrame:
     """NTILE(n) over the whole set for each {output: column}, ascending, ties by `tiebreak`.
 
-    A window without partitions runs in one task, so it is used only up to `single_task_rows`
-    rows (`rows` says how many there are; counted when missing). Beyond that the n - 1 first
-    rows of the buckets are found by a distributed sort and every row is compared with them.
-    Pass a stashed frame: it is read once per score.
+    Rows are numbered over a distributed sort, at every size; a bucket follows from a row's
+    number. Bucket sizes are NTILE's even if rows are alike in column and tiebreak; which of
+    those comes first is then open, so name columns that tell rows apart.
     """
-    rows = df.count() if rows is None else rows
-    if rows <= single_task_rows:
-        return df.withColumns(
-            {out: F.ntile(n).over(Window.orderBy(col, tiebreak)) for out, col in scores.items()}
-        )
-    return df.withColumns(
-        {out: _bucket(df, col, tiebreak, n) for out, col in scores.items()}
+    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    for out, col in scores.items():
+        df = _scored(df, [col, *(t for t in ties if t != col)], n, out)
+    return df
+
+
+def _scored(df: DataFrame, by: Sequence[str], n: int, out: str) -> DataFrame:
+    parts = sorted_parts(df, by)
+    counts = stash(parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first")), "ranges")
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range of the sort.
+    spans = counts.select(
+        "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift")
     )
-
-
-def _bucket(df: DataFrame, col: str, tiebreak: str, n: int) -> Column:
-    here = F.struct(F.col(col), F.col(tiebreak))
-    types = [df.schema[col].dataType, df.schema[tiebreak].dataType]
-    score = F.lit(1)
-    for first in bucket_starts(df, col, tiebreak, n):
-        edge = F.struct(*[F.lit(v).cast(t).alias(name) for v, t, name in zip(first, types, (col, tiebreak))])
-        score = score + F.when(here >= edge, 1).otherwise(0)
-    return score
-
-
-def bucket_starts(df: DataFrame, col: str, tiebreak: str, n: int) -> list[tuple]:
-    """First row (value, tiebreak) of buckets 2..n under NTILE's sizes.
-
-    Only one count per part and n - 1 rows come to the driver.
-    """
-    ranked = sorted_parts(df.select(col, tiebreak), [col, tiebreak])
-    counts = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect()
-    sizes = sorted((r["__part"], r["n"]) for r in counts)
-    total = sum(size for _, size in sizes)
-    starts = [i * (total // n) + min(i, total % n) for i in range(1, n)]
-    wanted, offset = [], 0
-    for part, size in sizes:
-        wanted += [(part, s - offset) for s in starts if offset <= s < offset + size]
-        offset += size
-    if not wanted:
-        return []
-    hit = F.lit(False)
-    for part, place in wanted:
-        hit = hit | ((F.col("__part") == part) & (F.col("__place") == place))
-    rows = ranked.where(hit).orderBy("__part", "__place").collect()
-    return [(r[col], r[tiebreak]) for r in rows]
+    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).scalar()
+    place, size = F.col("__place") + F.col("__shift"), F.floor(total / n)
+    larger = (total % n) * (size + 1)
+    bucket = F.when(place < larger, F.floor(place / (size + 1)))
+    bucket = bucket.otherwise(total % n + F.floor((place - larger) / F.greatest(size, F.lit(1))))
+    return parts.join(F.broadcast(spans), "__part").select(*df.columns, (bucket + 1).cast("int").alias(out))
 
 
 def top_n_per_group(df: DataFrame, group: str, by: Sequence[Column], n: int) -> DataFrame:

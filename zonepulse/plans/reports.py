@@ -50,21 +50,20 @@ def rfm_metrics(facts: DataFrame, locations: DataFrame, as_of: str, days: int) -
     )
 
 
-def rfm_scored(metrics: DataFrame, tiebreak: str, frequency: str, monetary: str, recency: str = "recency_days") -> DataFrame:
+def rfm_scored(metrics: DataFrame, tiebreak: str | Sequence[str], frequency: str, monetary: str, recency: str = "recency_days") -> DataFrame:
     """Scores 1..5 and the segment for every row of the metrics.
 
-    The metrics are stored first: they are read once for the size and once or twice for the
-    quintiles.
+    The columns of `tiebreak` tell the rows apart.
     """
-    kept = stash(metrics, "rfm")
-    scored = quantile_scores(kept, {"f_score": frequency, "m_score": monetary}, 5, tiebreak)
+    scored = quantile_scores(metrics, {"f_score": frequency, "m_score": monetary}, 5, tiebreak)
     scored = scored.withColumn("r_score", recency_score(recency))
     return scored.withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
 
 
 def rfm(facts: DataFrame, locations: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     scored = rfm_scored(
-        rfm_metrics(facts, locations, as_of, days), "pickup_cell", "frequency_trips", "monetary_avg_earnings"
+        rfm_metrics(facts, locations, as_of, days), ("pickup_cell", "zone_name", "borough"),
+        "frequency_trips", "monetary_avg_earnings",
     )
     return scored.select(
         "pickup_cell", "zone_name", "borough", "recency_days", "frequency_trips",
