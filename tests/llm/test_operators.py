@@ -81,6 +81,58 @@ def test_near_duplicates_find_all_links_of_documents(spark):
     assert classes == {k: root(k) for k in top}
 
 
+def some_words(draw, n):
+    return [f"w{draw.randrange(900)}" for _ in range(n)]
+
+
+def changed_words(draw, words, places):
+    places = set(places)
+    return [f"x{draw.randrange(10**6)}" if n in places else w for n, w in enumerate(words)]
+
+
+def equals_all_pairs(frame, texts, **options):
+    rows = [(n, neardup.word_codes(" ".join(t))) for n, t in enumerate(texts)]
+    pairs = [(a, b) for i, a in enumerate(rows) for b in rows[i + 1 :]]
+    top = list(range(len(rows)))
+
+    def root(x):
+        return x if top[x] == x else root(top[x])
+
+    for (a, b), yes in zip(pairs, neardup.similar_pairs([(a[1], b[1]) for a, b in pairs], 0.8)):
+        if yes:
+            x, y = sorted((root(a[0]), root(b[0])))
+            top[y] = x
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs_of(frame, [" ".join(t) for t in texts]), **options).collect()}
+    return got == {n: root(n) for n in range(len(rows))}
+
+
+def test_near_duplicates_that_share_a_passage_of_many_texts(frame):
+    draw, texts = random.Random(11), []
+    passage = some_words(draw, 12)
+    for _ in range(60):
+        texts.append(passage + some_words(draw, 18))
+        texts.append(changed_words(draw, texts[-1], draw.sample(range(12, 30), 6)))
+    assert equals_all_pairs(frame, texts)
+
+
+def test_near_duplicates_in_a_chain_whose_ends_differ(frame):
+    draw, texts = random.Random(12), []
+    for _ in range(40):
+        first = some_words(draw, 50)
+        middle = changed_words(draw, first, range(10))
+        texts += [first, middle, changed_words(draw, middle, range(40, 50))]
+    assert equals_all_pairs(frame, texts, sketches=1)
+
+
+def test_near_duplicates_at_the_threshold(frame):
+    draw, texts = random.Random(13), []
+    for n in (5, 10, 20, 60, 150):
+        for _ in range(20):
+            texts.append(some_words(draw, n))
+            texts.append(changed_words(draw, texts[-1], draw.sample(range(n), n // 5)))
+    assert equals_all_pairs(frame, texts)
+
+
 # --- licences, archives, shards -------------------------------------------------------------
 
 
