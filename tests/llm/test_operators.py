@@ -297,6 +297,29 @@ def test_disguised_words_are_restored(frame):
     assert toxicity.keep_harmless(docs_of(frame, []), model).columns == docs.columns
 
 
+def small_model(*weighted):
+    words = Counter((" ".join(PROSE[:1]) + " you are an " + " ".join(weighted)).split())
+    triples = Counter()
+    for word, n in words.items():
+        edged = f"\0\0{word}\0"
+        triples.update({edged[i : i + 3]: n for i in range(len(edged) - 2)})
+    return toxicity.Model(dict(triples), {w: 5.0 for w in weighted}, -5.0)
+
+
+def test_disguised_ends_of_words_are_decoded():
+    model = small_model("ass", "shit", "slut")
+    for text in ("what an a$$", "oh shi+", '"$lut"', "(a$$)"):
+        assert toxicity.score_text(text, model)[1] == 1, text
+    assert toxicity.score_text(PROSE[0] + "! (so) it+ on$", model)[1] == 0
+
+
+def test_long_stretches_and_sentences_set_apart_are_decoded():
+    model = small_model("idiot")
+    for text in ("i" * 50 + "d" + "i" * 50 + "ooot", "y o u a r e a n i d i o t", " ".join("you are an " * 5 + "idiot you are").replace("   ", " ")):
+        assert toxicity.score_text(text, model)[1] == 1, text
+    assert toxicity.score_text(" ".join("thequickbrownfox"), model)[1] == 0
+
+
 def test_languages_are_told_apart(spark, frame):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = langid.identify(docs.where(langid.held_out()), langid.fit(docs.where(~langid.held_out())))

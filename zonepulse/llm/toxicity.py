@@ -49,6 +49,9 @@ _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"(?<![^\s])[^\s](?:[ ][^\s]){2,}(?![^\s])")
 _LETTER = re.compile(r"[^\W\d_]")
 _INNER = re.compile(r"^[^\W_](?:[ .\-_*~'`,/]+[^\W_])+$")
+_RUN = re.compile(r"(.)\1{8,}")
+_SIGNS = "".join(map(re.escape, STANDS_FOR))
+_BESIDE = re.compile(rf"[{_SIGNS}][^\W\d_]|[^\W\d_][{_SIGNS}]")
 _EDGE = "\0"
 
 
@@ -68,10 +71,12 @@ class Model:
     letters: int = 1
     seen: dict[str, str] = field(default_factory=dict)
     known: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    heads: set[str] = field(default_factory=set)
 
     def __post_init__(self):
         for gram, n in self.triples.items():
             self.pairs[gram[:2]] += n
+        self.heads = {f[:n] for f in self.weights for n in range(1, len(f) + 1)}
         self.letters = len({c for gram in self.triples for c in gram}) + 1
 
     def cost(self, gram: str) -> float:
@@ -85,14 +90,84 @@ class Model:
                 self.known.clear()
             words = set(plain_words(token))
             core = token.strip(_STRIP)
-            # Signs after a whole word are no disguise of it; one before it may be its first letter.
-            odd = token[0] in STANDS_FOR or _STRETCHED.search(core) if core.isalpha() else _disguised(token)
+            # A sign next to a letter may be a letter of the word, also its first or last.
+            odd = _BESIDE.search(token) or _STRETCHED.search(core) if core.isalpha() else _disguised(token)
             if odd:
-                words |= {decode(form, self) for form in (token, token.strip(_STRIP)) if 2 < len(form) <= 64}
+                forms = _forms(_RUN.sub(lambda m: m[1] * 8, token))
+                words |= {decode(form, self) for form in forms if len(form) > 2 and may_hit(form, self)}
+                if _APART.fullmatch(token) and may_hit(token, self, anywhere=True):
+                    words |= set(decode_words(token, self))
             found = self.known[token] = tuple(sorted({f for w in words for f in features(w) if f in self.weights}))
         return found
 
 
+def _forms(token: str) -> set[str]:
+    """A token, and it without the signs around it, of which those next to it may be its own."""
+    core = token.strip(_STRIP)
+    first = last = len(token) - len(token.lstrip(_STRIP)) if core else 0
+    end = final = first + len(core)
+    while first and token[first - 1] in STANDS_FOR:
+        first -= 1
+    while final < len(token) and token[final] in STANDS_FOR:
+        final += 1
+    return {token, *[token[a:b] for a in range(first, last + 1) for b in range(end, final + 1)]}
+
+
+def _arcs(sign: str, previous: str) -> list[tuple[str, float]]:
+    """Letters that a sign may stand for, or none, and their costs."""
+    arcs = [(sign, 0.0)] if _LETTER.match(sign) else []
+    arcs += [(letter, SWAP) for letter in STANDS_FOR.get(sign, "")]
+    if sign in SEPARATORS:
+        arcs.append(("", SKIP_SEPARATOR))
+    elif sign == previous:
+        arcs.append(("", SKIP_REPEAT))
+    return arcs or [("", 4.0)]
+
+
+def may_hit(token: str, model: Model, anywhere: bool = False) -> bool:
+    """Whether any path of a token's lattice spells a weighted word or stem, from its start or anywhere."""
+    heads, previous = {""}, ""
+    for sign in token:
+        further = {""} if anywhere else set()
+        for letter, _ in _arcs(sign, previous):
+            further |= {h + letter for h in heads if not letter or h + letter in model.heads}
+        if any(h + "-" in model.weights or anywhere and h in model.weights for h in further):
+            return True
+        if not further:
+            return False
+        heads, previous = further, sign
+    return any(h in model.weights for h in heads)
+
+
+def decode_words(run: str, model: Model) -> list[str]:
+    """Likeliest words behind letters set apart: a word may end, and the next one start, at each space.
+
+    A path keeps the word it writes and a chain of those before. Weighted words are preferred.
+    """
+    paths: dict[str, tuple[float, str, tuple | None]] = {_EDGE * 2: (0.0, "", None)}
+    ended = lambda state, cost, word: cost + model.cost(state + _EDGE) - (8.0 if word in model.weights else 0.0)
+    previous = ""
+    for sign in run:
+        further: dict[str, tuple[float, str, tuple | None]] = {}
+        for state, (cost, word, before) in paths.items():
+            steps = []
+            for letter, price in _arcs(sign, previous):
+                step = cost + price + (model.cost(state + letter) if letter else 0.0)
+                steps.append(((state + letter)[-2:], (step, word + letter, before)))
+            if sign == " " and word:
+                steps.append((_EDGE * 2, (ended(state, cost, word) + SKIP_SEPARATOR, "", (word, before))))
+            for then, path in steps:
+                if then not in further or path[:2] < further[then][:2]:
+                    further[then] = path
+        paths, previous = further, sign
+    state, (_, word, before) = min(paths.items(), key=lambda p: (ended(p[0], *p[1][:2]), p[1][1]))
+    words = [word] if word else []
+    while before is not None:
+        words.append(before[0])
+        before = before[1]
+    return words[::-1]
+
+
 def decode(token: str, model: Model) -> str:
     """Likeliest word behind a token. States are the last two letters written so far."""
     if token in model.seen:
@@ -100,14 +175,7 @@ def decode(token: str, model: Model) -> str:
     paths: dict[str, tuple[float, str]] = {_EDGE * 2: (0.0, "")}
     previous = ""
     for sign in token:
-        arcs = [(sign, 0.0)] if _LETTER.match(sign) else []
-        arcs += [(letter, SWAP) for letter in STANDS_FOR.get(sign, "")]
-        if sign in SEPARATORS:
-            arcs.append(("", SKIP_SEPARATOR))
-        elif sign == previous:
-            arcs.append(("", SKIP_REPEAT))
-        if not arcs:
-            arcs = [("", 4.0)]
+        arcs = _arcs(sign, previous)
         further: dict[str, tuple[float, str]] = {}
         for state, (cost, word) in paths.items():
             for letter, price in arcs:
