@@ -51,7 +51,7 @@ def pack(ids: np.ndarray, bits: int, header: dict, sections: dict[str, np.ndarra
             ones.append(before)
             before += int(np.count_nonzero(high[first : first + BLOCK]))
         zeros.append(len(level) - before)
-        level = np.concatenate([level[~high], level[high]])
+        level = level[np.concatenate([np.flatnonzero(~high), np.flatnonzero(high)])]
     columns = {"stops": np.array(stops, "<i8"), "ones": np.array(ones, "<i8"), **sections}
     stored = {name: squeeze(np.asarray(column, "<i8").tobytes()) for name, column in columns.items()}
     head = json.dumps(
@@ -158,7 +158,8 @@ class WaveletMatrix:
             raw = b"".join(self._raw(plane * self.per_plane + block) for block in range(self.per_plane))
             high = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n).astype(bool)
             out = np.empty_like(level)
-            out[~high], out[high] = level[: self.zeros[plane]], level[self.zeros[plane] :] | 1 << (self.bits - 1 - plane)
+            out[np.flatnonzero(~high)] = level[: self.zeros[plane]]
+            out[np.flatnonzero(high)] = level[self.zeros[plane] :] | 1 << (self.bits - 1 - plane)
             level = out
         return level
 
