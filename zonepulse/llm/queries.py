@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from zonepulse.llm import ann, langid, licences, neardup, packing, pieces, sharding, tokenfile, topk, toxicity, warc
+from zonepulse.llm import alignment, ann, langid, licences, neardup, packing, pieces, prefixes, sharding, tokenfile, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
@@ -22,8 +22,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         langid.op8_output_codes,
         pieces.op9_batched_viterbi,
         ann.op10_multi_index,
+        alignment.op11_interval_alignment,
+        prefixes.op12_radix_trie,
         tokenfile.op13_wavelet_shards,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-SQL: dict[str, str] = {**licences.SQL, **warc.SQL, **topk.SQL}
+SQL: dict[str, str] = {**licences.SQL, **warc.SQL, **topk.SQL, **prefixes.SQL}
