@@ -27,33 +27,6 @@ def byte_letters() -> list[str]:
 SPACE = byte_letters()[0x20]
 
 
-class _Odd(Exception):
-    """A stretch starts with white space, so it belongs to the one before."""
-
-
-class _Stretches(dict):
-    """Ids of what follows a space, up to the next one, that space included."""
-
-    def __init__(self, encoder: ByteLevel):
-        super().__init__()
-        self.encoder, self.pretokens = encoder, encoder.pretokens
-        self.tokenize = encoder.tokenizer.model.tokenize
-
-    def __missing__(self, part: str) -> bytes:
-        if not part or part[0].isspace():
-            raise _Odd
-        if len(self) > REMEMBERED:
-            self.clear()
-        if part.isalpha() and part.isascii():
-            ids = array("I", [t.id for t in self.tokenize(SPACE + part)]).tobytes()
-        elif (word := part.rstrip(SIGNS)).isalpha() and len(word) < len(part) and max(word) < SETTLED:
-            ids = self[word] + self.pretokens[part[len(word) :]]
-        else:
-            ids = self.encoder.stretch(" " + part)
-        self[part] = ids
-        return ids
-
-
 class _Pretokens(dict):
     def __init__(self, model):
         super().__init__()
@@ -80,7 +53,8 @@ class ByteLevel:
         self.tokenizer.encode_special_tokens = plain
         self.specials = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pretokens = _Pretokens(self.tokenizer.model)
-        self.stretches = _Stretches(self)
+        #: Ids of what follows a space, up to the next one, that space included.
+        self.stretches: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -97,16 +71,39 @@ class ByteLevel:
         if any(special in text for special in self.specials):
             return self.whole(text)
         first, *parts = text.split(" ")
-        try:
-            return self.stretch(first) + b"".join(map(self.stretches.__getitem__, parts))
-        except _Odd:
-            out, open_ = [], [first]
-            for part in parts:
-                if part and not part[0].isspace():
-                    out.append(self.stretch(" ".join(open_)))
-                    open_ = [""]
-                open_.append(part)
-            return b"".join([*out, self.stretch(" ".join(open_))])
+        found = list(map(self.stretches.get, parts))
+        if None in found:
+            new = {part for part, ids in zip(parts, found) if ids is None}
+            if any(not part or part[0].isspace() for part in new):
+                return self._with_runs_of_space(first, parts)
+            self._learn(new)
+            found = map(self.stretches.__getitem__, parts)
+        return self.stretch(first) + b"".join(found)
+
+    def _learn(self, new: set[str]) -> None:
+        """Remembers stretches. A plain word is one pretoken; signs after it are one more."""
+        if len(self.stretches) > REMEMBERED:
+            self.stretches.clear()
+        tokenize, known = self.tokenizer.model.tokenize, self.stretches
+        for part in new:
+            word = part if part.isalpha() else part.rstrip(SIGNS)
+            if not (word.isascii() and word.isalpha()):
+                known[part] = self.stretch(" " + part)
+                continue
+            if word not in known:
+                known[word] = array("I", [t.id for t in tokenize(SPACE + word)]).tobytes()
+            if len(word) < len(part):
+                known[part] = known[word] + self.pretokens[part[len(word) :]]
+
+    def _with_runs_of_space(self, first: str, parts: list[str]) -> bytes:
+        """White space in a row is cut by the library's rule, together with the stretch before it."""
+        out, open_ = [], [first]
+        for part in parts:
+            if part and not part[0].isspace():
+                out.append(self.stretch(" ".join(open_)))
+                open_ = [""]
+            open_.append(part)
+        return b"".join([*out, self.stretch(" ".join(open_))])
 
 
 _LOADED: dict[tuple[str, bool], ByteLevel] = {}

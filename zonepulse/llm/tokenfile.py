@@ -42,16 +42,19 @@ def pack(ids: np.ndarray, bits: int, header: dict, sections: dict[str, np.ndarra
     level = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     zeros, stops, ones, blocks, at = [], [], [], [], 0
     for plane in reversed(range(bits)):
-        high = (level >> plane & 1).astype(bool)
-        packed, before = np.packbits(high).tobytes(), 0
+        low, high, before = [], [], 0
         for first in range(0, len(level), BLOCK):
-            blocks.append(squeeze(packed[first // 8 : (first + BLOCK) // 8]))
+            part = level[first : first + BLOCK]
+            bit = (part & level.dtype.type(1 << plane)) != 0
+            low.append(part[np.flatnonzero(~bit)])
+            high.append(part[np.flatnonzero(bit)])
+            blocks.append(squeeze(np.packbits(bit).tobytes()))
             at += len(blocks[-1])
             stops.append(at)
             ones.append(before)
-            before += int(np.count_nonzero(high[first : first + BLOCK]))
+            before += len(high[-1])
         zeros.append(len(level) - before)
-        level = level[np.concatenate([np.flatnonzero(~high), np.flatnonzero(high)])]
+        level = np.concatenate([level[:0], *low, *high])
     columns = {"stops": np.array(stops, "<i8"), "ones": np.array(ones, "<i8"), **sections}
     stored = {name: squeeze(np.asarray(column, "<i8").tobytes()) for name, column in columns.items()}
     head = json.dumps(
@@ -155,11 +158,15 @@ class WaveletMatrix:
         """All ids: the moves after each plane are undone, last plane first."""
         level = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for plane in reversed(range(self.bits)):
-            raw = b"".join(self._raw(plane * self.per_plane + block) for block in range(self.per_plane))
-            high = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n).astype(bool)
-            out = np.empty_like(level)
-            out[np.flatnonzero(~high)] = level[: self.zeros[plane]]
-            out[np.flatnonzero(high)] = level[self.zeros[plane] :] | 1 << (self.bits - 1 - plane)
+            out, low, high = np.empty_like(level), 0, self.zeros[plane]
+            mark = level.dtype.type(1 << (self.bits - 1 - plane))
+            for block in range(self.per_plane):
+                part = out[block * self.block : (block + 1) * self.block]
+                raw = np.frombuffer(self._raw(plane * self.per_plane + block), np.uint8)
+                bit = np.unpackbits(raw, count=len(part)).view(bool)
+                zero, one = np.flatnonzero(~bit), np.flatnonzero(bit)
+                part[zero], part[one] = level[low : low + len(zero)], level[high : high + len(one)] | mark
+                low, high = low + len(zero), high + len(one)
             level = out
         return level
 
