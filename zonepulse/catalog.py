@@ -17,7 +17,8 @@ from zonepulse.plans.warehouse import (
 )
 from zonepulse.session import scratch_path, stash
 from zonepulse.sources import bindings as B, sinks as K, tables as TB
-from zonepulse.streaming import ingest as I
+from zonepulse.sources.snapshots import SnapshotTable
+from zonepulse.streaming import ingest as I, stateful as SF
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -579,8 +580,8 @@ def trip_messages(w: Warehouse) -> DataFrame:
 
 @query
 def stream_ingest_trips(w: Warehouse) -> DataFrame:
-    landed = I.ingest_trips(trip_messages(w), as_of="2024-02-01 00:00:00")
-    return I.drain(K.with_day(landed, "pickup_datetime"), "trips", ["event_day"]).drop("processing_timestamp")
+    rows = I.ingest_trips(trip_messages(w), as_of="2024-02-01 00:00:00")
+    return SF.scratch_landing(rows, "trips").drop("processing_timestamp")
 
 
 @query
@@ -597,16 +598,41 @@ def stream_ingest_weather(w: Warehouse) -> DataFrame:
     return ST.stg_weather_json(landed)
 
 
+PARTS = 5
+
+
+def in_parts(w: Warehouse, run: Callable[[DataFrame], None]) -> None:
+    """Events arrive in five parts of six days each, every seventh event one part late; `run`
+    gets a stream over what has arrived so far after each part."""
+    events, path = w.table("events"), scratch_path(w.spark, "arrived")
+    days = F.datediff(F.to_date("ts"), F.to_date(events.agg(F.min("ts")).scalar()))
+    part = F.floor(days / 6) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    events = events.withColumn("part", F.least(part, F.lit(PARTS - 1)))
+    for n in range(PARTS):
+        events.where(F.col("part") == n).drop("part").write.mode("append").parquet(path)
+        run(TB.read_stream(w.spark, path, w.table("events").schema))
+
+
 @query
 def stream_window_summary(w: Warehouse) -> DataFrame:
-    activity = I.zone_activity(event_stream(w), "ts", "event_type", "value", "1 hour")
-    return I.drain_updates(activity, "activity", ["window_start", "event_type"])
+    path = scratch_path(w.spark, "activity")
+    in_parts(w, lambda s: SF.summarize_windows(s, path, f"{path}-checkpoint", "ts", "event_type", "value").awaitTermination())
+    return SF.window_summary(w.spark, path, "event_type", "value", with_late=True)
 
 
 @query
 def stream_active_trips(w: Warehouse) -> DataFrame:
-    active = I.active_trips(event_stream(w), "user_id", "event_type", ["click", "view"], ["purchase"])
-    return I.drain_updates(active, "active", ["user_id"])
+    path = scratch_path(w.spark, "active")
+    ended = F.col("active_trips") == 0
+
+    def run(stream: DataFrame) -> None:
+        balance = SF.running_balance(stream, "user_id", "event_type", ["click", "view"], ["purchase"], "active_trips")
+        SF.write_latest(balance, path, f"{path}-checkpoint", ["user_id"], ended, compact_every=2).awaitTermination()
+
+    in_parts(w, run)
+    known = SF.latest(w.spark, path, ["user_id"]).where(~ended).select("user_id", "active_trips")
+    # What the stream's state holds after the last part, next to what it has reported.
+    return known.join(SF.stored_balances(w.spark, f"{path}-checkpoint").withColumnRenamed("n", "in_state"), "user_id", "full")
 
 
 @query
@@ -655,9 +681,28 @@ def sink_roundtrip(w: Warehouse) -> DataFrame:
 
 @query
 def retention(w: Warehouse) -> DataFrame:
-    path = scratch_path(w.spark, "retention")
-    stored = K.materialize(K.with_day(w.table("events"), "ts", "day"), path, ["day"])
-    return K.expire_partitions(stored, "day", 10, "2024-01-30").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    table = SnapshotTable(w.spark, scratch_path(w.spark, "retention"), ["day"])
+    table.replace(K.with_day(w.table("events"), "ts", "day"))
+    table.expire("day", 10, "2024-01-30")
+    table.clean_up()
+    # Everything that lies in storage is read, whether the table's version names it or not.
+    stored = w.spark.read.parquet(table.path)
+    rows = stored.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("folders_left", F.lit(len({f.split("/")[0] for f in table.folders()})))
+
+
+@query
+def snapshot_replace(w: Warehouse) -> DataFrame:
+    """A table, one day of it replaced, rows added twice by one batch, and days in many folders joined."""
+    table = SnapshotTable(w.spark, scratch_path(w.spark, "snapshots"), ["day"])
+    daily = K.with_day(w.table("events"), "ts", "day")
+    table.replace(daily.where(F.col("event_type") != "error"))
+    table.replace_partitions(daily.where(F.col("day") == F.lit("2024-01-10").cast("date")))
+    for _ in range(2):
+        table.append(daily.where((F.col("event_type") == "error") & (F.col("user_id") % 2 == 0)), "errors", 0)
+    table.compact()
+    out = table.read().groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return out.withColumn("folders", F.lit(len(table.current()["folders"])))
 
 
 @query
