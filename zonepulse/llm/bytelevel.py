@@ -24,20 +24,23 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
-SPACE = byte_letters()[0x20]
+LETTERS = dict(enumerate(byte_letters()))
+SPACE = LETTERS[0x20]
+
+
+def as_letters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(LETTERS)
 
 
 class _Pretokens(dict):
     def __init__(self, model):
         super().__init__()
         self.model = model
-        self.letters = {b: letter for b, letter in enumerate(byte_letters())}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > REMEMBERED:
             self.clear()
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        self[word] = ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        self[word] = ids = array("I", [t.id for t in self.model.tokenize(as_letters(word))]).tobytes()
         return ids
 
 
@@ -76,22 +79,24 @@ class ByteLevel:
             new = {part for part, ids in zip(parts, found) if ids is None}
             if any(not part or part[0].isspace() for part in new):
                 return self._with_runs_of_space(first, parts)
+            if len(self.stretches) > REMEMBERED:
+                self.stretches.clear()
+                new = {*parts}
             self._learn(new)
             found = map(self.stretches.__getitem__, parts)
         return self.stretch(first) + b"".join(found)
 
     def _learn(self, new: set[str]) -> None:
         """Remembers stretches. A plain word is one pretoken; signs after it are one more."""
-        if len(self.stretches) > REMEMBERED:
-            self.stretches.clear()
         tokenize, known = self.tokenizer.model.tokenize, self.stretches
         for part in new:
             word = part if part.isalpha() else part.rstrip(SIGNS)
-            if not (word.isascii() and word.isalpha()):
+            if not word.isalpha() or not (plain := word.isascii()) and max(word) >= SETTLED:
                 known[part] = self.stretch(" " + part)
                 continue
             if word not in known:
-                known[word] = array("I", [t.id for t in tokenize(SPACE + word)]).tobytes()
+                letters = word if plain else as_letters(word)
+                known[word] = array("I", [t.id for t in tokenize(SPACE + letters)]).tobytes()
             if len(word) < len(part):
                 known[part] = known[word] + self.pretokens[part[len(word) :]]
 
