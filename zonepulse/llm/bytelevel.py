@@ -81,9 +81,9 @@ class ByteLevel:
                 return self._with_runs_of_space(first, parts)
             if len(self.stretches) > REMEMBERED:
                 self.stretches.clear()
-                new = {*parts}
             self._learn(new)
-            found = map(self.stretches.__getitem__, parts)
+            known = self.stretches
+            found = [known[part] if ids is None else ids for part, ids in zip(parts, found)]
         return self.stretch(first) + b"".join(found)
 
     def _learn(self, new: set[str]) -> None:
