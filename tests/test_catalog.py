@@ -30,7 +30,7 @@ def test_query_equals_its_twin(spark, con, name):
     assert all(check.compatible(t, kinds[c]) for c, t in df.dtypes)
 
 
-@pytest.mark.parametrize("name", ["noisy_label", "random_sample", "demand_model_forecast", "replay_sample"])
+@pytest.mark.parametrize("name", ["demand_model_forecast", "fare_model_quotes"])
 def test_queries_without_twin_run(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
 
@@ -54,6 +54,28 @@ def test_scans_read_only_needed_columns(spark):
     assert "l_shipdate" not in plan and "l_returnflag" not in plan and "o_totalprice" not in plan
 
 
+def test_the_union_prunes_landed_days(spark):
+    plan = entry.queries()["unify_trips"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan
+
+
+@pytest.mark.parametrize("name", ["quality_report", "model_row_counts"])
+def test_trips_are_read_from_their_source_once(spark, name, monkeypatch):
+    """Counts scans of lineitem in every plan that runs, those of stored frames included."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    entry.catalog.open_warehouse(spark, FOLDER).weather, entry.catalog.open_warehouse(spark, FOLDER).dates
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, path, *args, **more):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    plans.append(entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString())
+    assert sum(p.count("lineitem.parquet") for p in plans) == 1
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "pickups_24h_ago" in df.columns

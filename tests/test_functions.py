@@ -192,3 +192,39 @@ def test_distances(value):
     assert value(geo.est_seconds(F.lit(5.0))) == 1800.0
     assert value(geo.rule_fare(F.lit(0.1))) == 5.0
     assert value(geo.rule_fare(F.lit(4.0))) == 13.0
+
+
+# --- polygons with holes ------------------------------------------------------------------
+
+def shapes(spark, *texts):
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").withColumn("r", geo.rings_of("t"))
+    return rows.select("n", "r", geo.area_of("r").alias("area"), geo.centre_of("r").alias("c")).orderBy("n").collect()
+
+
+def test_rings_of_polygon_texts(spark):
+    got = shapes(
+        spark, "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))", "polygon((0 0,0 4,4 4,4 0,0 0))", " POLYGON Z ((0 0 9, 4 0 9, 4 4 9, 0 4 9, 0 0 9)) ",
+        "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (2 1, 2 3, 4 3, 4 1, 2 1))",
+        "MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((10 0, 10 1, 11 1, 11 0, 10 0), (10.25 0.25, 10.25 0.75, 10.75 0.75, 10.75 0.25, 10.25 0.25)))",
+        "POLYGON ((1 1, 1 1, 1 1))", "POINT (1 2)", "", None, "POLYGON EMPTY", "POLYGON ((a b, 4 0, 4 4, 0 0))",
+    )
+    for r in got[:3]:
+        assert [(x["hole"], len(x["points"])) for x in r["r"]] == [(False, 5)]
+        assert r["area"] == 16.0 and tuple(r["c"]) == (2.0, 2.0)
+    assert [x["hole"] for x in got[3]["r"]] == [False, True]
+    assert got[3]["area"] == 12.0 and got[3]["c"]["x"] == pytest.approx((16 * 2 - 4 * 3) / 12) and got[3]["c"]["y"] == pytest.approx(2.0)
+    assert [x["hole"] for x in got[4]["r"]] == [False, False, True] and got[4]["area"] == pytest.approx(4.75)
+    assert got[4]["c"]["x"] == pytest.approx((4 * 1 + 0.75 * 10.5) / 4.75) and got[4]["c"]["y"] == pytest.approx((4 * 1 + 0.75 * 0.5) / 4.75)
+    assert got[5]["area"] == 0.0 and tuple(got[5]["c"]) == (1.0, 1.0)
+    assert all(r["r"] is None and r["area"] is None and r["c"] is None for r in got[6:10])
+    assert got[10]["r"][0]["points"][0]["x"] is None
+
+
+def test_draws_are_the_same_in_any_engine(spark):
+    import hashlib
+
+    df = spark.range(50).select("id", S.draw(7, "id", F.when(F.col("id") > 3, F.lit("k"))).alias("d"), S.uniform(7, "id").alias("u"))
+    for r in df.collect():
+        text = f"7|{r['id']}|{'k' if r['id'] > 3 else ''}"
+        assert r["d"] == int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+        assert 0 <= r["u"] < 1

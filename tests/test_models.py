@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonepulse.plans import models as M
+from zonepulse.plans.store import ModelStore
 from zonepulse.session import stash
 
 FEATURES = ("pickup_cell string, timestamp_hour timestamp_ntz, total_pickups long, had_rain boolean, is_weekend boolean, "
@@ -42,22 +43,70 @@ def test_model_learns_and_survives_unknown_cells(trained, spark, tmp_path):
     assert again.exceptAll(scored).count() == 0
 
 
-def test_many_categories_are_encoded_by_target(spark):
-    df = spark.range(2000).select((F.col("id") % 40).cast("string").alias("c"), (F.col("id") % 40 * 2.0).alias("y"))
-    model = M.train_trees(df, "y", ["c"], 1, 20, max_categories=10)
-    worst = M.predict(model, df).agg(F.max(F.abs(F.col("y") - F.col("predicted_y")))).first()[0]
-    assert worst < 10
+def test_categories_are_encoded_by_target_or_by_name(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 40).cast("string").alias("c"), (F.col("id") % 40 * 2.0).alias("y"))
+    for named in ((), ("c",)):
+        model = M.train_trees(df, "y", ["c"], 1, 20, keys=["id"], categorical=named)
+        worst = M.predict(model, df).agg(F.max(F.abs(F.col("y") - F.col("predicted_y")))).first()[0]
+        assert worst < 10
+        strange = df.limit(2).withColumn("c", F.when(F.col("id") == 0, F.lit("new")))
+        assert M.predict(model, strange).where("predicted_y IS NOT NULL").count() == 2
 
 
-def test_no_rows_to_train_on(spark):
+def test_small_sets_train_without_held_out_rows(spark):
+    df = spark.range(4).select("id", F.col("id").cast("string").alias("c"), (F.col("id") * 1.0).alias("y"))
+    model = M.train_trees(df, "y", ["c"], 1, 3, keys=["id"], share_held_out=0.0)
+    assert M.predict(model, df).where("predicted_y IS NOT NULL").count() == 4
+
+
+def test_fold_means_leave_out_a_rows_own_part(spark):
+    df = spark.range(600).select("id", F.when(F.col("id") % 7 > 0, (F.col("id") % 3).cast("string")).alias("c"), (F.col("id") % 10).alias("y"))
+    split = M.hold_out(df, 0.2, 4, ["id"])
+    rows = M.fold_means(split, "c", "y", "m", 4, ["id"]).collect()
+    assert len(rows) == 600 and {r["__fold"] for r in rows} == {-1, 0, 1, 2, 3, 4}
+    train = [r for r in rows if not r["is_validation"]]
+    for r in rows:
+        assert r["is_validation"] == (r["__fold"] == -1)
+        others = [x for x in train if x["__fold"] != r["__fold"]]
+        mine = [x["y"] for x in others if x["c"] == r["c"] and r["c"] is not None]
+        overall = sum(x["y"] for x in others) / len(others)
+        assert r["m"] == pytest.approx((sum(mine) + M.SMOOTHING * overall) / (len(mine) + M.SMOOTHING))
+
+
+def test_held_out_share_is_the_same_at_any_size(spark):
+    for n in (300, 5000, 100_000):
+        df = M.hold_out(spark.range(n), 0.1, 1, ["id"])
+        assert df.where("is_validation").count() == pytest.approx(n * 0.1, abs=4 * (n * 0.09) ** 0.5)
+        again = M.hold_out(spark.range(n).repartition(5), 0.1, 1, ["id"])
+        assert df.exceptAll(again).count() == 0
+
+
+def test_model_store_keeps_the_old_model_until_the_new_one_is_whole(spark, tmp_path, monkeypatch):
+    df = spark.range(200).select("id", (F.col("id") % 5 * 2.0).alias("x"), (F.col("id") % 5 * 3.0).alias("y"))
+    store = ModelStore(spark, str(tmp_path / "models"))
     with pytest.raises(ValueError):
-        M.train_trees(spark.range(0).select("id", F.lit(1).alias("y")), "y", ["id"], 1)
+        store.load("m")
+    first = M.train_trees(df, "y", ["x"], 1, 2, keys=["id"])
+    store.save("m", first, rows=200)
+    want = M.predict(first, df).collect()
+    assert M.predict(store.load("m"), df).collect() == want and store.facts("m") == {"rows": 200, "version": 0}
+
+    class Broken:
+        def write(self):
+            raise RuntimeError("stop")
+
+    with pytest.raises(RuntimeError):
+        store.save("m", Broken())
+    assert M.predict(store.load("m"), df).collect() == want
+    store.save("m", M.train_trees(df.withColumn("y", F.col("y") + 1), "y", ["x"], 1, 2, keys=["id"]), rows=1)
+    assert store.facts("m") == {"rows": 1, "version": 1} and M.predict(store.load("m", 0), df).collect() == want
+    assert store.clean_up("m", keep=1) == 1
+    assert M.predict(store.load("m"), df).collect() != want
 
 
-def test_split_sizes(spark):
-    for n, low, high in ((499, 0, 0), (5000, 800, 1200), (200_000, 9000, 11_000)):
-        held = M.auto_split(spark.range(n), 1).where("is_validation").count()
-        assert low <= held <= high
+def test_no_rows_to_train_on(spark):
+    with pytest.raises(ValueError):
+        M.train_trees(spark.range(0).select("id", F.lit(1).alias("y")), "y", ["id"], 1)
 
 
 def test_forecast_reaches_all_hours_alike(trained):
@@ -139,6 +188,21 @@ def test_cluster_report(spark):
     assert by_name["High Demand"] == max(by_name.values()) and sum(r["zones"] for r in out["stats"].collect()) == 40
     assert out["loadings"].count() == 8 and out["top"].count() <= 20
     assert out["summary"].first()["zones"] == 40
+    checks = out["checks"].collect()
+    assert len(checks) == 7 and all(r["violations"] == 0 for r in checks)
+
+
+def test_checks_of_components_and_clusters_find_faults(spark):
+    scored, model = M.pca_scores(zones(spark))
+    wrong = scored.withColumn("PC2", F.col("PC2") + F.col("PC1"))
+    bad = {r["check_name"] for r in M.check_components(wrong, model, M.PCA_FEATURES).collect() if r["violations"]}
+    assert bad == {"PC2 is an eigenvector", "components do not correlate"}
+    rows, fitted = M.cluster(scored, ["PC1", "PC2"], 4, 3)
+    moved = rows.withColumn("cluster", (F.col("cluster") + 1) % 4)
+    assert {r["check_name"]: r["violations"] for r in M.check_clusters(moved, fitted, ["PC1", "PC2"]).collect()}["zones nearer to another centre"] == 40
+    worse = sorted(fitted, key=lambda m: -m.summary.trainingCost)
+    if worse[0].summary.trainingCost > worse[-1].summary.trainingCost * 1.01:
+        assert M.check_clusters(rows, worse, ["PC1", "PC2"]).where("check_name = 'starts with less cost'").first()["violations"] > 0
 
 
 def test_clusters_with_few_zones_and_a_constant(spark):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 from pyspark.sql.types import StructType
 
+from zonepulse.session import stash_observed
 from zonepulse.operators import aggregates as A, joins as J, ordering as O, prep as P, quality as Q, windows as W
 
 
@@ -115,7 +116,9 @@ def test_predictions_reach_every_matching_hour(frame):
 
 def test_exact_average_ignores_order(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "x double")
-    assert df.agg(A.exact_avg("x").alias("a")).first()["a"] == 0.6 / 3
+    assert df.agg(A.exact_avg("x", A.WIDE).alias("a")).first()["a"] == 0.6 / 3
+    small = spark.createDataFrame([(0.00003,), (0.00003,)], "x double")
+    assert small.agg(A.exact_avg("x", A.WIDE).alias("a")).first()["a"] == 0.00003
 
 
 def test_whole_set_aggregates_on_empty_input(frame):
@@ -257,6 +260,11 @@ def test_checks(frame):
     assert pairs(Q.report(checks), "check_name", "violations", "passed") == [
         ("fine", 0, True), ("known", 1, False), ("positive", 1, False), ("present", 1, False), ("unique", 1, False)]
     assert pairs(Q.condition_report(df, {"a": F.col("n") > 0, "b": F.col("id") > 0}), "check_name", "violations") == [("a", 1), ("b", 0)]
+    tagged, known = Q.known(df, {"k": ("k", dim, "k"), "n": ("n", frame([(1,), (1,)], "v int"), "v")})
+    assert tagged.count() == 3
+    stored, counts = stash_observed(tagged, Q.violations({**known, "id": F.col("id") > 1}))
+    assert counts == {"k": 1, "n": 1, "id": 2} and stored.count() == 3
+    assert pairs(Q.counted_report(df.sparkSession, counts), "check_name", "violations", "passed") == [("id", 2, False), ("k", 1, False), ("n", 1, False)]
     want = StructType.fromDDL("id int, n string, x int")
     assert Q.check_schema(df, want) == ["missing column x", "column n is int, not string"]
     assert Q.check_schema(df, df.schema, exact=True) == []

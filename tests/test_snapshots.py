@@ -28,7 +28,7 @@ def test_a_failed_write_leaves_the_old_table(spark, table):
     with pytest.raises(Exception, match="stop"):
         table.replace(bad)
     assert seen(table.read()) == Counter({("2024-01-01", 1): 1, ("2024-01-02", 2): 1})
-    assert table.versions() == [0]
+    assert table.history.numbers() == [0]
     # A write that is killed between its files and its version is not seen either, and is cleaned up.
     table._write(rows_of(spark, ("2024-01-09", 9)), 1, ())
     assert table.read().count() == 2 and table.clean_up() >= 1
@@ -106,4 +106,4 @@ def test_the_second_of_two_writers_starts_over(spark, table, monkeypatch):
 
     monkeypatch.setattr(files, "publish_text", race)
     table.append(rows_of(spark, ("2024-01-01", 3)))
-    assert {r["id"] for r in table.read().collect()} == {1, 2, 3} and table.versions() == [0, 1, 2]
+    assert {r["id"] for r in table.read().collect()} == {1, 2, 3} and table.history.numbers() == [0, 1, 2]

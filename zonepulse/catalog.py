@@ -11,11 +11,11 @@ from pyspark.sql.types import (
 
 from zonepulse.functions import fixed, geo, scalars as S, times as T
 from zonepulse.operators import aggregates as A, joins as J, prep as P, quality as Q, windows as W
-from zonepulse.plans import facts as FA, models as M, reports as R, staging as ST
+from zonepulse.plans import dimensions as DI, facts as FA, models as M, reports as R, staging as ST
 from zonepulse.plans.warehouse import (
     CALENDAR, SHIFT_DAYS, SHIFT_YEARS, EVENT_YEARS, Warehouse, build_all, build_report, open_warehouse,
 )
-from zonepulse.session import scratch_path, stash
+from zonepulse.session import scratch_path, stash, stash_observed
 from zonepulse.sources import bindings as B, sinks as K, tables as TB
 from zonepulse.sources.snapshots import SnapshotTable
 from zonepulse.streaming import ingest as I, stateful as SF
@@ -101,7 +101,18 @@ def calendar_dim(w: Warehouse) -> DataFrame:
 
 @query
 def location_dim(w: Warehouse) -> DataFrame:
-    return rounded(w.locations, ["longitude", "latitude"])
+    return rounded(w.locations.drop("zone_centroid"), ["longitude", "latitude"])
+
+
+@query
+def zone_scan(w: Warehouse) -> DataFrame:
+    """Zones from a file of polygon texts with holes and several parts."""
+    path = scratch_path(w.spark, "zones")
+    B.zone_texts(w.table("nation"), w.table("region")).write.csv(path, header=True)
+    zones = TB.read_zone_texts(w.spark, path)
+    shapes = zones.select("zone_id", F.size("rings").alias("n_rings"), geo.area_of("rings").alias("area"))
+    out = DI.dim_location(zones).drop("zone_centroid").join(shapes, "zone_id")
+    return rounded(out, ["longitude", "latitude"]).withColumn("area", S.round_to("area", 9))
 
 
 @query
@@ -152,13 +163,20 @@ def conform_trips(w: Warehouse) -> DataFrame:
     return w.trips()
 
 
+def landing_table(w: Warehouse) -> SnapshotTable:
+    """Trips as a stream would have landed them since it began, a month before its rows are used:
+    moved to their new days and partitioned by day."""
+    moved = w.raw_trips().withColumns({c: T.shift_days(c, SHIFT_DAYS) for c in ("pickup_datetime", "dropoff_datetime")})
+    moved = P.time_range(moved, "pickup_datetime", "2004-11-24")
+    table = SnapshotTable(w.spark, scratch_path(w.spark, "landing"), ["event_day"])
+    table.replace(K.with_day(moved, "pickup_datetime"))
+    return table
+
+
 @query
 def unify_trips(w: Warehouse) -> DataFrame:
-    raw = w.raw_trips()
-    landing = raw.withColumns({c: T.shift_days(c, SHIFT_DAYS) for c in ("pickup_datetime", "dropoff_datetime")})
-    both = ST.stg_trips(raw, landing, SHIFT_DAYS, "1995-02-01", "2000-12-24", "2004-12-24")
-    day = F.to_date("picked_up_at").alias("day")
-    return both.groupBy(day, "vendor_id").agg(F.count(F.lit(1)).alias("trips"), A.exact_sum("total_amount").alias("amount"))
+    landing = landing_table(w).read()
+    return ST.stg_trips(w.raw_trips(), landing, SHIFT_DAYS, "1995-02-01", "2000-12-24", "2004-12-24", "event_day")
 
 
 # --- facts --------------------------------------------------------------------------------
@@ -396,7 +414,7 @@ def trip_explorer(w: Warehouse) -> DataFrame:
 
 @query
 def random_sample(w: Warehouse) -> DataFrame:
-    # Sampling reads its input twice, so the span is stored first.
+    # Sampling reads its input several times, so the span is stored first.
     span = stash(P.date_between(w.facts(), "picked_up_at", *SPAN), "span")
     return R.trip_sample(span, 1000, *SPAN, seed=SEED)
 
@@ -408,29 +426,33 @@ def coverage_audit(w: Warehouse) -> DataFrame:
 
 @query
 def model_row_counts(w: Warehouse) -> DataFrame:
-    return A.row_counts({"trips": w.trips(), "facts": w.facts(), "demand": w.demand(), "events": w.table("events")})
+    # Trips are joined from their source once; every count comes with a pass that is needed anyway.
+    rows = {"row_count": F.count(F.lit(1))}
+    trips, of_trips = stash_observed(w.trips(), rows, "trips")
+    facts = FA.fct_trips(trips, w.dates, w.locations, w.weather).select("pickup_cell", "picked_up_at")
+    facts, of_facts = stash_observed(facts, rows, "facts")
+    known = [("trips", of_trips["row_count"]), ("facts", of_facts["row_count"])]
+    counted = w.spark.createDataFrame(known, "model string, row_count long")
+    return counted.unionByName(A.row_counts({"demand": FA.hourly_demand(facts, w.dates, w.weather), "events": w.table("events")}))
 
 
 @query
 def quality_report(w: Warehouse) -> DataFrame:
-    rows = stash(w.facts().select("trip_id", "datetime_id", "passenger_count", "trip_duration_seconds"), "checked")
-    checks = Q.report(
-        {
-            "unique trip_id": Q.check_unique(rows, ["trip_id"]),
-            "unique weather_date": Q.check_unique(w.weather, ["weather_date"]),
-            "known weather": Q.check_reference(w.trips().select(F.to_date("picked_up_at").alias("d")), w.weather, "d", "weather_date"),
-            "known pickup zone": Q.check_reference(w.trips(), w.locations, "pickup_location_id", "zone_id"),
-        }
+    tagged, references = Q.known(
+        w.trips().withColumn("__day", F.to_date("picked_up_at")),
+        {"known weather": ("__day", w.weather, "weather_date"), "known pickup zone": ("pickup_location_id", w.locations, "zone_id")},
     )
-    single = Q.condition_report(
-        rows,
-        {
-            "date present": F.col("datetime_id").isNotNull(),
-            "passengers above one": F.col("passenger_count") > 1,
-            "short trips": F.col("trip_duration_seconds") < 7200,
-        },
-    )
-    return checks.unionByName(single)
+    trips, of_trips = stash_observed(tagged, Q.violations(references), "trips")
+    rows = FA.fct_trips(trips.select(w.trips().columns), w.dates, w.locations, w.weather)
+    rows = rows.select("trip_id", "datetime_id", "passenger_count", "trip_duration_seconds")
+    conditions = {
+        "date present": F.col("datetime_id").isNotNull(),
+        "passengers above one": F.col("passenger_count") > 1,
+        "short trips": F.col("trip_duration_seconds") < 7200,
+    }
+    facts, of_facts = stash_observed(rows, Q.violations(conditions), "checked")
+    unique = Q.report({"unique trip_id": Q.check_unique(facts, ["trip_id"]), "unique weather_date": Q.check_unique(w.weather, ["weather_date"])})
+    return unique.unionByName(Q.counted_report(w.spark, {**of_trips, **of_facts}))
 
 
 @query
@@ -544,20 +566,48 @@ def zone_standardized(w: Warehouse) -> DataFrame:
     return rounded(scaled.select("pickup_cell", *[F.col(z).alias(f"z_{c}") for c, z in names.items()]), [f"z_{c}" for c in names])
 
 
+def pca_of(w: Warehouse) -> dict[str, DataFrame]:
+    """Components and clusters of the zones, computed once for all queries that show them."""
+    if "pca" not in w.reports:
+        w.reports["pca"] = M.pca_report(zone_table(w))
+    return w.reports["pca"]
+
+
 @query
 def pca_zones(w: Warehouse) -> DataFrame:
-    return M.pca_report(zone_table(w))["zones"]
+    return pca_of(w)["zones"]
 
 
 @query
 def pca_loadings(w: Warehouse) -> DataFrame:
-    scored, model = M.pca_scores(zone_table(w))
-    return M.pca_loadings(model, M.PCA_FEATURES, scored)
+    return pca_of(w)["loadings"]
+
+
+@query
+def pca_checks(w: Warehouse) -> DataFrame:
+    return pca_of(w)["checks"]
 
 
 @query
 def cluster_stats(w: Warehouse) -> DataFrame:
-    return M.pca_report(zone_table(w))["stats"]
+    return pca_of(w)["stats"]
+
+
+def split_features(w: Warehouse) -> DataFrame:
+    known = P.require_not_null(w.event_features(), M.LAG_COLUMNS)
+    return M.hold_out(known, 0.1, SEED, M.DEMAND_KEYS)
+
+
+@query
+def training_matrix(w: Warehouse) -> DataFrame:
+    """Training and held-out rows with the mean demand of their cell in other parts of the rows."""
+    rows = M.fold_means(split_features(w), "pickup_cell", "total_pickups", "cell_mean", SEED, M.DEMAND_KEYS)
+    return rounded(rows.select("pickup_cell", "timestamp_hour", "is_validation", F.col("__fold").alias("fold"), "cell_mean"), ["cell_mean"])
+
+
+@query
+def split_check(w: Warehouse) -> DataFrame:
+    return split_features(w).groupBy("pickup_cell", "is_validation").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -638,7 +688,7 @@ def stream_active_trips(w: Warehouse) -> DataFrame:
 @query
 def stream_scored_events(w: Warehouse) -> DataFrame:
     features = stash(w.event_features(), "features")
-    model = M.train_demand(features, SEED, iterations=5)
+    model = M.train_demand(features, SEED)
     live = topic(w, features)
     return I.drain(I.score_stream(live, model), "scored").select(
         "pickup_cell", "timestamp_hour", "predicted_total_pickups", "surge"
@@ -659,8 +709,7 @@ def raw_event_trips(w: Warehouse) -> DataFrame:
 
 @query
 def replay_rows(w: Warehouse) -> DataFrame:
-    # More rows asked for than the day has: the sample is the whole day and can be compared.
-    rows = I.replay_rows(raw_event_trips(w), "2028-01-11", 10_000_000, 1461, 1462, SEED, ["event_id"])
+    rows = I.replay_rows(raw_event_trips(w), "2028-01-11", 100, 1461, 1462, SEED, ["event_id"])
     return rows.select("event_id", "pickup_datetime", "rate_code", "payment_type", "extra", "tip_amount", "tolls_amount")
 
 
@@ -723,17 +772,16 @@ def backfill_sample(w: Warehouse) -> DataFrame:
     schema = StructType.fromDDL(TB.TRIP_SCHEMA + ", processing_timestamp timestamp_ntz")
     K.ensure_table(w.spark, path, schema)
     span = stash(P.date_between(w.raw_trips(), "pickup_datetime", "2000-01-01", "2000-12-31"), "span")
-    keys = ["pickup_datetime", "dropoff_datetime", "passenger_count", "total_amount"]
-    audit = ST.backfill(span, path, schema, "2000-01-01", "2000-12-31", SHIFT_DAYS, 400, SEED, keys)
-    # Which rows come is random, how many is not.
-    return audit.select("row_count")
+    keys = ["pickup_datetime", "dropoff_datetime", "passenger_count", "pickup_location_id", "dropoff_location_id"]
+    ST.backfill(span, path, schema, "2000-01-01", "2000-12-31", SHIFT_DAYS, 400, SEED, keys, as_of="2024-02-01 00:00:00")
+    return w.spark.read.schema(schema).parquet(path).select(*keys, "total_amount", "fare_amount", "airport_fee", "processing_timestamp")
 
 
 @query
 def warehouse_build(w: Warehouse) -> DataFrame:
     built, checks = build_all(
         w.spark, w.trips(), w.zones(), w.weather_sources(), ST.stg_events(w.calendar(), SHIFT_YEARS),
-        scratch_path(w.spark, "warehouse"), CALENDAR, SPAN, SEED, train=False,
+        scratch_path(w.spark, "warehouse"), CALENDAR, SPAN, SEED,
     )
     failed = checks.select(F.concat(F.lit("check "), "check_name").alias("model"), F.col("violations").alias("row_count"))
     return build_report(built).unionByName(failed)

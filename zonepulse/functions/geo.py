@@ -95,6 +95,82 @@ def _centroid(ring, axis: str) -> Column:
     return F.when(F.abs(area2) < 1e-18, mean).otherwise(origin[axis] + moment / (area2 * 3.0))
 
 
+# --- polygons of several rings ------------------------------------------------------------
+
+def rings_of(text) -> Column:
+    """Rings of a POLYGON or MULTIPOLYGON text, each with whether it is a hole.
+
+    array<struct<hole boolean, points array<struct<x double, y double>>>>; the first ring of each
+    polygon is its outline. NULL for other texts; a pair that is no number has NULL coordinates.
+    """
+    text = F.upper(F.trim(as_col(text)))
+    body = F.regexp_replace(F.regexp_replace(text, r"^(MULTI)?POLYGON\s*(Z\b)?\s*", ""), r"\s*([(),])\s*", "$1")
+    body = F.when(text.startswith("MULTIPOLYGON"), body).when(text.startswith("POLYGON"), F.concat(F.lit("("), body, F.lit(")")))
+    inside = F.regexp_replace(F.regexp_replace(body, r"^\(\(\(", ""), r"\)\)\)$", "")
+
+    def point(pair: Column) -> Column:
+        parts = F.split(F.trim(pair), r"\s+")
+        return F.struct(*[F.get(parts, F.lit(i)).try_cast("double").alias(axis) for i, axis in enumerate("xy")])
+
+    def polygon(rings: Column) -> Column:
+        return F.transform(
+            F.split(rings, r"\),\("),
+            lambda ring, n: F.struct((n > 0).alias("hole"), F.transform(F.split(ring, ","), point).alias("points")),
+        )
+
+    whole = F.regexp_like(body, F.lit(r"^\(\(\(.+\)\)\)$"))
+    return F.when(whole, F.flatten(F.transform(F.split(inside, r"\)\),\(\("), polygon)))
+
+
+def _moments(rings: Column, origin: Column) -> Column:
+    """Twice the area and its first moments over all rings; holes count against the outlines,
+    whichever way either runs."""
+
+    def of_ring(ring: Column) -> Column:
+        points = F.transform(ring["points"], lambda p: F.struct((p["x"] - origin["x"]).alias("x"), (p["y"] - origin["y"]).alias("y")))
+        nexts = F.concat(F.slice(points, 2, 1_000_000_000), F.slice(points, 1, 1))
+        edges = F.zip_with(
+            points, nexts,
+            lambda a, b: F.struct(
+                (a["x"] * b["y"] - b["x"] * a["y"]).alias("a"), ((a["x"] + b["x"]) * (a["x"] * b["y"] - b["x"] * a["y"])).alias("x"),
+                ((a["y"] + b["y"]) * (a["x"] * b["y"] - b["x"] * a["y"])).alias("y"),
+            ),
+        )
+        sums = {c: _sum(edges, c) for c in ("a", "x", "y")}
+        sign = F.when(ring["hole"], F.lit(-1.0)).otherwise(F.lit(1.0)) * F.signum(sums["a"])
+        return F.struct(*[(sign * col).alias(c) for c, col in sums.items()])
+
+    return F.transform(rings, of_ring)
+
+
+def _sum(items: Column, field: str) -> Column:
+    """Sum of a field over an array of structs; unknown ones do not count."""
+    return F.aggregate(items, F.lit(0.0), lambda acc, item: acc + F.coalesce(item[field], F.lit(0.0)))
+
+
+def _total(rings: Column, origin: Column, part: str) -> Column:
+    return _sum(_moments(rings, origin), part)
+
+
+def area_of(rings) -> Column:
+    """Planar area inside the outlines and outside the holes, in square degrees."""
+    rings = as_col(rings)
+    return _total(rings, F.get(F.get(rings, F.lit(0))["points"], F.lit(0)), "a") / 2.0
+
+
+def centre_of(rings) -> Column:
+    """Area-weighted centre of rings as struct<x, y>; without area the mean of the first ring's corners."""
+    rings = as_col(rings)
+    first = F.get(rings, F.lit(0))["points"]
+    origin = F.get(first, F.lit(0))
+    area2 = _total(rings, origin, "a")
+    axes = []
+    for axis in "xy":
+        mean = _sum(first, axis) / F.size(first)
+        axes.append(F.when(F.abs(area2) < 1e-18, mean).otherwise(origin[axis] + _total(rings, origin, axis) / (area2 * 3.0)).alias(axis))
+    return F.when(F.size(rings) > 0, F.struct(*axes))
+
+
 def haversine_miles(lat1, lon1, lat2, lon2) -> Column:
     lat1, lon1, lat2, lon2 = (F.radians(as_col(c)) for c in (lat1, lon1, lat2, lon2))
     half_lat, half_lon = F.sin((lat2 - lat1) / 2.0), F.sin((lon2 - lon1) / 2.0)

@@ -93,12 +93,19 @@ def rush_ratio(morning, evening, average) -> Column:
     return F.try_divide(top, F.coalesce(as_col(average), F.lit(1.0)))
 
 
+DRAW_BITS = 60
+
+
+def draw(seed: int, *keys) -> Column:
+    """Whole number below 2^60 from the MD5 of seed and keys as text, joined by bars; unknown
+    keys count as empty. A task that runs again draws the same, and so does any other engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(as_col(k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("long")
+
+
 def uniform(seed: int, *keys) -> Column:
-    """Uniform number in [0, 1) from a hash of the keys: a task that runs again draws the same,
-    which a random generator bound to the order of rows does not promise."""
-    steps = 1 << 53
-    draw = F.pmod(F.xxhash64(F.lit(seed), *[as_col(k) for k in keys]), F.lit(steps))
-    return draw / F.lit(float(steps))
+    """Uniform number in [0, 1), a draw of the keys."""
+    return draw(seed, *keys) / F.lit(float(1 << DRAW_BITS))
 
 
 def jitter(col, noise: float, seed: int, keys) -> Column:

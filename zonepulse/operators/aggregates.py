@@ -12,15 +12,16 @@ from zonepulse.functions.times import dow, hour_floor, month_key
 from zonepulse.operators.prep import last_interval
 
 MONEY = "decimal(18,4)"
-WIDE = "decimal(28,9)"  # for computed values such as predictions
+WIDE = "decimal(28,9)"  # for measured and computed values
 
 
-def exact_sum(col, dtype: str = MONEY) -> Column:
-    """Sum in decimals, as double: the order of the rows cannot change it."""
+def exact_sum(col, dtype: str) -> Column:
+    """Sum in decimals, as double: the order of the rows cannot change it. The type says how many
+    digits count: `MONEY` for amounts, `WIDE` for measured and computed values."""
     return F.sum(as_col(col).cast(dtype)).cast("double")
 
 
-def exact_avg(col, dtype: str = MONEY) -> Column:
+def exact_avg(col, dtype: str) -> Column:
     return exact_sum(col, dtype) / F.count(as_col(col))
 
 
@@ -91,7 +92,7 @@ def value_counts(df: DataFrame, col: str, out: str = "n") -> DataFrame:
 
 def avg_or_default(df: DataFrame, value: str, default: float, out: str) -> DataFrame:
     """One row even for an empty input."""
-    return df.agg(F.coalesce(exact_avg(value), F.lit(float(default))).alias(out))
+    return df.agg(F.coalesce(exact_avg(value, WIDE), F.lit(float(default))).alias(out))
 
 
 def density(df: DataFrame, cell: str, area_km2: float, k: int | None = None) -> DataFrame:
@@ -105,7 +106,7 @@ def density(df: DataFrame, cell: str, area_km2: float, k: int | None = None) ->
 def rollup_cells(df: DataFrame, parent: Column, sums: Mapping[str, str], means: Mapping[str, str]) -> DataFrame:
     """Sums and means of finer cells under their parent: {output: input}."""
     aggs = [F.sum(src).alias(out) for out, src in sums.items()]
-    aggs += [exact_avg(src).alias(out) for out, src in means.items()]
+    aggs += [exact_avg(src, WIDE).alias(out) for out, src in means.items()]
     return df.groupBy(parent.alias("parent_cell")).agg(F.count(F.lit(1)).alias("cells"), *aggs)
 
 
@@ -114,8 +115,8 @@ def realtime_summary(
 ) -> DataFrame:
     """Per key over the last interval: mean demand, mean multiplier, rows, latest update."""
     return last_interval(df, ts, interval, as_of).groupBy(key).agg(
-        exact_avg(demand).alias("avg_demand"),
-        exact_avg(surge).alias("avg_surge"),
+        exact_avg(demand, WIDE).alias("avg_demand"),
+        exact_avg(surge, WIDE).alias("avg_surge"),
         F.count(F.lit(1)).alias("n"),
         F.max(ts).alias("last_updated"),
     )

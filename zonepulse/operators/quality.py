@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -55,10 +55,37 @@ def report(checks: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("passed", F.col("violations") == 0)
 
 
+def violations(conditions: Mapping[str, Column]) -> dict[str, Column]:
+    """Aggregates that count the rows that fail each condition, to be had in one pass."""
+    return {name: F.count(F.when(~good, 1)) for name, good in conditions.items()}
+
+
+def known(df: DataFrame, references: Mapping[str, tuple[str, DataFrame, str]]) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows tagged by left joins, and the conditions that say whether their keys are known.
+
+    References are {check: (key, dimension, its key)}; an unknown key counts, a missing one does
+    not. Each dimension is reduced to its keys, so no row is repeated, and all checks of a table
+    then share one pass over it.
+    """
+    conditions = {}
+    for n, (name, (key, dim, dim_key)) in enumerate(references.items()):
+        tag = f"__known_{n}"
+        keys = dim.select(F.col(dim_key).alias(f"__key_{n}")).distinct().withColumn(tag, F.lit(True))
+        df = df.join(keys, F.col(key) == F.col(f"__key_{n}"), "left").drop(f"__key_{n}")
+        conditions[name] = F.col(key).isNull() | F.col(tag).isNotNull()
+    return df, conditions
+
+
+def counted_report(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The report of violations that were counted elsewhere."""
+    rows = [(name, int(n or 0), not n) for name, n in counts.items()]
+    return spark.createDataFrame(rows, "check_name string, violations long, passed boolean")
+
+
 def condition_report(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """Row-wise checks counted in a single pass; a condition holds for good rows."""
     names = list(conditions)
-    counts = df.agg(*[F.count(F.when(~conditions[n], 1)).alias(f"c{i}") for i, n in enumerate(names)])
+    counts = df.agg(*[col.alias(f"c{i}") for i, col in enumerate(violations(conditions).values())])
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(names)]))
     out = counts.select(pairs.alias("p")).select("p.check_name", "p.violations")
     return out.withColumn("passed", F.col("violations") == 0)

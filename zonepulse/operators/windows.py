@@ -95,13 +95,15 @@ def quantile_scores(df: DataFrame, scores: Mapping[str, str], n: int, tiebreak:
 
 def _scored(df: DataFrame, by: Sequence[str], n: int, out: str) -> DataFrame:
     parts = sorted_parts(df, by)
-    counts = stash(parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first")), "ranges")
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+    in_order = Window.orderBy("__part")
     # One row per range of the sort.
     spans = counts.select(
-        "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift")
+        "__part",
+        (F.coalesce(F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("__first")).alias("__shift"),
+        F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__total"),
     )
-    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).scalar()
+    total = F.col("__total")
     place, size = F.col("__place") + F.col("__shift"), F.floor(total / n)
     larger = (total % n) * (size + 1)
     bucket = F.when(place < larger, F.floor(place / (size + 1)))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonepulse.functions.geo import cell_id, centroid_x, centroid_y
+from zonepulse.functions.geo import cell_id, centre_of, centroid_x, centroid_y
 from zonepulse.functions.times import calendar_parts, date_id, is_weekend
-from zonepulse.operators.aggregates import exact_avg, exact_sum
+from zonepulse.operators.aggregates import WIDE, exact_avg, exact_sum
 from zonepulse.operators.prep import where_not
 from zonepulse.sources.tables import date_spine
 
@@ -32,21 +32,28 @@ def dim_datetime(spark: SparkSession, events: DataFrame, start: str, end: str) -
 
 
 def dim_location(zones: DataFrame, unknown: str = "Unknown") -> DataFrame:
-    """Zones of known boroughs with their centre and grid cell."""
+    """Zones of known boroughs with their centre and grid cell.
+
+    Zones have one closed `ring`, or `rings` with holes as read from a polygon text.
+    """
+    if "rings" in zones.columns:
+        centre = centre_of("rings")
+    else:
+        centre = F.struct(centroid_x("ring").alias("x"), centroid_y("ring").alias("y"))
     centred = where_not(zones, "borough", unknown).select(
-        F.col("zone_id").cast("string").alias("zone_id"), "zone_name", "borough",
-        centroid_x("ring").alias("longitude"), centroid_y("ring").alias("latitude"),
+        F.col("zone_id").cast("string").alias("zone_id"), "zone_name", "borough", centre.alias("zone_centroid"),
     )
-    return centred.withColumn("cell", cell_id("longitude", "latitude"))
+    placed = centred.withColumns({"longitude": F.col("zone_centroid.x"), "latitude": F.col("zone_centroid.y")})
+    return placed.withColumn("cell", cell_id("longitude", "latitude"))
 
 
 def dim_weather(weather: DataFrame) -> DataFrame:
     """One row per day over all sources."""
     return weather.groupBy(F.col("observation_date").alias("weather_date")).agg(
-        exact_avg("avg_temp_celsius").alias("avg_temp_celsius"),
+        exact_avg("avg_temp_celsius", WIDE).alias("avg_temp_celsius"),
         F.max("max_temp_celsius").alias("max_temp_celsius"),
         F.min("min_temp_celsius").alias("min_temp_celsius"),
-        exact_sum("precipitation_mm").alias("total_precipitation_mm"),
+        exact_sum("precipitation_mm", WIDE).alias("total_precipitation_mm"),
         F.bool_or("is_rainy").alias("had_rain"),
         F.bool_or("is_snowy").alias("had_snow"),
         F.bool_or("is_foggy").alias("had_fog"),

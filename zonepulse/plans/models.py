@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import (
-    PCA, Imputer, PCAModel, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler,
+    PCA, Imputer, PCAModel, SQLTransformer, StringIndexer, StringIndexerModel, TargetEncoder, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -18,7 +19,7 @@ from pyspark.sql.types import BooleanType, StringType
 
 from zonepulse.functions import fixed
 from zonepulse.functions.geo import cell_id, est_seconds, haversine_miles
-from zonepulse.functions.scalars import round_to
+from zonepulse.functions.scalars import DRAW_BITS, draw, round_to
 from zonepulse.functions.times import dow, is_weekend
 from zonepulse.operators.aggregates import WIDE, exact_avg
 from zonepulse.operators.joins import join_predictions
@@ -38,97 +39,115 @@ DEMAND_FEATURES = (
 )
 LAG_COLUMNS = ("pickups_1h_ago", "pickups_24h_ago", "pickups_1week_ago")
 
-# Categories up to this number become tree categories; more are hashed and target-encoded.
-MAX_CATEGORIES = 1000
-HASH_BUCKETS = 1 << 16
-ROWS_PER_TASK = 20_000
+#: Parts of the training rows between which target means are exchanged, and the weight in rows
+#: of the overall mean in a category's mean.
+FOLDS, SMOOTHING = 5, 10.0
+DEMAND_KEYS = ("pickup_cell", "timestamp_hour")
 
-# Rows below which nothing is held out, and the held-out share or number above.
-SPLIT_SMALL, SPLIT_LARGE, SPLIT_SHARE, SPLIT_ROWS = 500, 50_000, 0.2, 10_000
 
+def hold_out(df: DataFrame, share: float, seed: int, keys: Sequence[str], out: str = "is_validation") -> DataFrame:
+    """Marks a share of the rows as held out, by a draw of their keys. The share is the same for
+    any number of rows, and a task that runs again decides alike."""
+    return df.withColumn(out, draw(seed, *keys) < int(share * (1 << DRAW_BITS)))
 
-def auto_split(df: DataFrame, seed: int, rows: int | None = None, out: str = "is_validation") -> DataFrame:
-    """Marks held-out rows: none of a small set, a fifth of a middling one, about 10,000 of a
-    large one. Decided by a hash of the row, so a recomputed task decides alike."""
-    rows = df.count() if rows is None else rows
-    if rows < SPLIT_SMALL:
-        share = 0.0
-    elif rows <= SPLIT_LARGE:
-        share = SPLIT_SHARE
-    else:
-        share = SPLIT_ROWS / rows
-    draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000))
-    return df.withColumn(out, draw < int(share * 1_000_000))
 
+def fold_means(
+    df: DataFrame, category: str, label: str, out: str, seed: int, keys: Sequence[str],
+    held_out: str = "is_validation", folds: int = FOLDS, smoothing: float = SMOOTHING,
+) -> DataFrame:
+    """Mean label of each row's category, without the row's own part of the rows.
 
-def fewer_tasks(df: DataFrame, rows: int) -> DataFrame:
-    """Iterative training runs a job per step; a small set then needs no more tasks than it
-    has rows for. Large sets stay as they are."""
-    return df.coalesce(max(1, rows // ROWS_PER_TASK))
+    Rows are dealt to `folds` parts by a draw of their keys; a row's mean comes from the other
+    parts, drawn towards their overall mean as if `smoothing` more rows had that. Held-out rows
+    are in no part and get the mean of all of them. Adds `__fold` as well. Only sums per category
+    and part meet the rows.
+    """
+    fold = F.when(~F.col(held_out), draw(seed + 1, *keys) % folds).otherwise(F.lit(-1))
+    rows = df.withColumn("__fold", fold)
+    sums = rows.where("__fold >= 0").groupBy(category, "__fold").agg(F.count(label).alias("__n"), F.sum(F.col(label).cast("double")).alias("__s"))
+    total = sums.groupBy(category).agg(F.sum("__n").alias("__n"), F.sum("__s").alias("__s"))
+    # Of every category: its rows outside each part, and all of them for the held-out rows.
+    parts = total.select(category, "__n", "__s", F.explode(F.array(*[F.lit(f).cast("long") for f in range(-1, folds)])).alias("__fold"))
+    own = sums.select(category, "__fold", F.col("__n").alias("__n_own"), F.col("__s").alias("__s_own"))
+    of_fold = sums.groupBy("__fold").agg(F.sum("__n").alias("__n_own"), F.sum("__s").alias("__s_own"))
+    whole = sums.agg(F.sum("__n").alias("__n"), F.sum("__s").alias("__s"))
+    spine = df.sparkSession.range(-1, folds).withColumnRenamed("id", "__fold").join(of_fold, "__fold", "left")
+    less = {c: F.col(c) - F.coalesce(f"{c}_own", F.lit(0)) for c in ("__n", "__s")}
+    overall = spine.withColumns({c: whole.select(c).scalar() for c in ("__n", "__s")}).withColumns(less)
+    overall = overall.select("__fold", F.try_divide("__s", "__n").alias("__all"))
+    means = parts.join(own, [category, "__fold"], "left").withColumns(less).select(F.col(category).alias("__c"), "__fold", "__n", "__s")
+    found = rows.withColumn("__c", F.col(category)).join(means, ["__c", "__fold"], "left").join(overall, "__fold", "left")
+    weight = F.lit(float(smoothing))
+    value = (F.coalesce("__s", F.lit(0.0)) + weight * F.col("__all")) / (F.coalesce("__n", F.lit(0)) + weight)
+    return found.withColumn(out, value).drop("__c", "__n", "__s", "__all")
 
 
 def train_trees(
     df: DataFrame, label: str, features: Sequence[str], seed: int, iterations: int = 50,
     depth: int = 6, step: float = 0.3, min_progress: float | None = 0.01,
-    max_categories: int = MAX_CATEGORIES,
+    share_held_out: float = 0.1, keys: Sequence[str] | None = None, categorical: Sequence[str] = (),
 ) -> PipelineModel:
     """Boosted regression trees with automatic encoding of the features.
 
-    Texts become categories, flags numbers (unknown apart), missing numbers their mean. With
-    `min_progress` training stops once the held-out error improves by less than that share.
+    Flags become numbers (unknown apart), missing numbers their mean. A text becomes the mean
+    label of its category, or a category of the trees if it is named in `categorical`. Encoders
+    are fitted without the held-out rows, and the rows that train see target means from other
+    parts of the rows. With `min_progress` training stops once the held-out error improves by
+    less than that share. `keys` tell rows apart in the draws (default: all features).
     """
-    data = stash(df.select(label, *features), "train")
-    rows = data.count()
-    if not rows:
+    keys = list(keys or features)
+    columns = list(dict.fromkeys([label, *features, *keys]))
+    # Rebalanced, so that small sets are not trained in as many tasks as wrote them.
+    data = stash(hold_out(df.select(*columns), share_held_out, seed, keys, "__held_out").hint("rebalance"), "train")
+    if data.isEmpty():
         raise ValueError("no rows to train on")
-    data = fewer_tasks(data, rows)
     texts = [f for f in features if isinstance(data.schema[f].dataType, StringType)]
     flags = [f for f in features if isinstance(data.schema[f].dataType, BooleanType)]
     numbers = [f for f in features if f not in texts and f not in flags]
-    stages: list = []
+    means = [f for f in texts if f not in categorical]
     exprs = [f"CAST(`{f}` AS double) AS `__n_{f}`" for f in numbers]
     exprs += [f"COALESCE(CAST(CAST(`{f}` AS int) AS double), -1.0D) AS `__b_{f}`" for f in flags]
-    inputs = [f"__i_{f}" for f in numbers] + [f"__b_{f}" for f in flags]
-    sizes = data.agg(*[F.approx_count_distinct(f).alias(f) for f in texts]).first().asDict() if texts else {}
-    bins = 32
-    encoders: list = []
-    for f in texts:
-        if sizes[f] <= max_categories:
-            encoders.append(StringIndexer(inputCol=f, outputCol=f"__c_{f}", handleInvalid="keep"))
-            bins = max(bins, int(sizes[f] * 1.2) + 8)
-            inputs.append(f"__c_{f}")
-        else:
-            exprs.append(f"CAST(pmod(xxhash64(`{f}`), {HASH_BUCKETS}) AS double) AS `__h_{f}`")
-            encoders.append(
-                TargetEncoder(
-                    inputCol=f"__h_{f}", outputCol=f"__c_{f}", labelCol="__label",
-                    targetType="continuous", handleInvalid="keep",
-                )
-            )
-            # The sum drops the mark of a category: the mean label is a plain number.
-            encoders.append(SQLTransformer(statement=f"SELECT *, `__c_{f}` + 0.0D AS `__t_{f}` FROM __THIS__"))
-            inputs.append(f"__t_{f}")
-    stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
+    stages: list = [SQLTransformer(statement=f"SELECT {', '.join(['*', *exprs])} FROM __THIS__")]
     if numbers:
         stages.append(Imputer(inputCols=[f"__n_{f}" for f in numbers], outputCols=[f"__i_{f}" for f in numbers]))
-    stages += encoders
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="keep"))
-    split, held_out = data.withColumn("__label", F.col(label).cast("double")), {}
-    if min_progress is not None and rows >= SPLIT_SMALL:
-        split = auto_split(split, seed, rows, "__held_out")
+    stages += [StringIndexer(inputCol=f, outputCol=f"__c_{f}", handleInvalid="keep") for f in texts]
+    for f in means:
+        stages.append(
+            TargetEncoder(
+                inputCol=f"__c_{f}", outputCol=f"__m_{f}", labelCol="__label", targetType="continuous",
+                handleInvalid="keep", smoothing=SMOOTHING,
+            )
+        )
+        # The sum drops the mark of a category: the mean label is a plain number.
+        stages.append(SQLTransformer(statement=f"SELECT *, `__m_{f}` + 0.0D AS `__t_{f}` FROM __THIS__"))
+    labelled = data.withColumn("__label", F.col(label).cast("double"))
+    train = labelled.where(~F.col("__held_out"))
+    if train.isEmpty():
+        raise ValueError("no rows to train on")
+    encoders = Pipeline(stages=stages).fit(train)
+    encoded = encoders.transform(labelled)
+    for f in means:
+        encoded = fold_means(encoded.drop(f"__t_{f}"), f, "__label", f"__t_{f}", seed, keys, "__held_out").drop("__fold")
+    inputs = [f"__i_{f}" for f in numbers] + [f"__b_{f}" for f in flags]
+    inputs += [f"__t_{f}" if f in means else f"__c_{f}" for f in texts]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="keep")
+    ready = stash(assembler.transform(encoded).select("__features", "__label", "__held_out").hint("rebalance"), "matrix")
+    sizes = [len(m.labels) for m in encoders.stages if isinstance(m, StringIndexerModel) and m.getInputCol() in categorical]
+    held_out = {}
+    if min_progress is not None and not ready.where("__held_out").isEmpty():
         held_out = {"validationIndicatorCol": "__held_out", "validationTol": min_progress}
     trees = GBTRegressor(
         featuresCol="__features", labelCol="__label", predictionCol=f"predicted_{label}",
-        maxIter=iterations, maxDepth=depth, stepSize=step, maxBins=bins, seed=seed,
+        maxIter=iterations, maxDepth=depth, stepSize=step, maxBins=max(32, *[n + 1 for n in sizes], 32), seed=seed,
         maxMemoryInMB=512, **held_out,
     )
-    return Pipeline(stages=[*stages, trees]).fit(split)
+    return PipelineModel([*encoders.stages, assembler, trees.fit(ready)])
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Adds predicted_<label>; the model's helper columns are removed again."""
+def predict(model: PipelineModel, df: DataFrame, keep: str | None = None) -> DataFrame:
+    """Adds predicted_<label>; the model's helper columns are removed again, all but `keep`."""
     out = model.transform(df)
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    return out.drop(*[c for c in out.columns if c.startswith("__") and c != keep])
 
 
 def train_demand(
@@ -140,7 +159,7 @@ def train_demand(
     The default columns include the daily change, which together with the lag gives the label
     away; pass other columns for an honest model.
     """
-    return train_trees(require_not_null(features, require_lags), "total_pickups", columns, seed, iterations)
+    return train_trees(require_not_null(features, require_lags), "total_pickups", columns, seed, iterations, keys=DEMAND_KEYS)
 
 
 def train_fare(training: DataFrame, seed: int, iterations: int = 20) -> PipelineModel:
@@ -171,6 +190,11 @@ def score_back(features: DataFrame, predictions: DataFrame, on: Sequence[str] =
     )
 
 
+def recent_rows(features: DataFrame, as_of=None) -> DataFrame:
+    """The last 24 hours with a known daily lag."""
+    return require_not_null(last_interval(features, "timestamp_hour", "24 hours", as_of), ["pickups_24h_ago"])
+
+
 def build_forecast(
     features: DataFrame, model: PipelineModel, as_of=None, on: Sequence[str] = FORECAST_KEYS
 ) -> DataFrame:
@@ -179,9 +203,7 @@ def build_forecast(
     `as_of` None means the latest hour in the table. Predictions are at most a day's rows per
     cell, so each past hour meets one or two of them.
     """
-    recent = last_interval(features, "timestamp_hour", "24 hours", as_of)
-    scored = predict(model, require_not_null(recent, ["pickups_24h_ago"]))
-    return score_back(features, scored, on)
+    return score_back(features, predict(model, recent_rows(features, as_of)), on)
 
 
 def quote_features(requests: DataFrame, conditions: DataFrame, forecast: DataFrame, as_of=None) -> DataFrame:
@@ -288,21 +310,21 @@ def pca_loadings(model: PCAModel, cols: Sequence[str], df: DataFrame) -> DataFra
     return df.sparkSession.createDataFrame(rows, "feature string, component string, loading double")
 
 
-def cluster(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10, seed: int = 42, out: str = "cluster") -> DataFrame:
-    """K-means with several starts; the one with the least cost stays.
+def cluster(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10, seed: int = 42, out: str = "cluster") -> tuple[DataFrame, list[KMeansModel]]:
+    """K-means with several starts: rows by the one with the least cost, and all, best first.
 
     The starts are independent jobs, a few of which run at a time.
     """
     vectors = VectorAssembler(inputCols=list(cols), outputCol="__x").transform(df)
-    points = fewer_tasks(vectors.select("__x"), df.count())
+    points = stash(vectors.select("__x").hint("rebalance"), "points")
 
-    def fit(start: int):
+    def fit(start: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + start, featuresCol="__x", predictionCol=out, maxIter=50).fit(points)
 
     with ThreadPool(min(4, restarts)) as pool:
         fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
-    best = min(fitted, key=lambda m: m.summary.trainingCost)
-    return best.transform(vectors).drop("__x")
+    fitted.sort(key=lambda m: m.summary.trainingCost)
+    return fitted[0].transform(vectors).drop("__x"), fitted
 
 
 def cluster_stats(df: DataFrame, key: str = "pickup_cell") -> DataFrame:
@@ -319,17 +341,63 @@ def cluster_stats(df: DataFrame, key: str = "pickup_cell") -> DataFrame:
     )
 
 
+def check_components(scored: DataFrame, model: PCAModel, cols: Sequence[str]) -> DataFrame:
+    """(check_name, violations) of components against the rows themselves.
+
+    A loading times the correlations must be that loading times the component's variance, the
+    loadings have length 1, and components do not correlate.
+    """
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
+    k = model.pc.toArray().shape[1]
+    asked = [F.covar_pop(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r{i}_{j}") for i, j in pairs]
+    asked += [F.var_pop(f"PC{c + 1}").alias(f"v{c}") for c in range(k)] + [F.covar_pop("PC1", f"PC{c + 1}").alias(f"c{c}") for c in range(1, k)]
+    found, weights = scored.agg(*asked).first(), model.pc.toArray()
+    spread = [math.sqrt(found[f"r{i}_{i}"] or 0.0) for i in range(len(cols))]
+    # A constant column was scaled to zeros and correlates with nothing.
+    related = {(i, j): found[f"r{i}_{j}"] / (spread[i] * spread[j]) if spread[i] and spread[j] else 0.0 for i, j in pairs}
+    checks = []
+    for c in range(k):
+        residual = max(
+            abs(sum(related[i, j] * weights[j][c] for j in range(len(cols))) - found[f"v{c}"] * weights[i][c]) for i in range(len(cols))
+        )
+        checks.append((f"PC{c + 1} is an eigenvector", int(residual > 1e-6)))
+        checks.append((f"PC{c + 1} has length one", int(abs(sum(w[c] ** 2 for w in weights) - 1) > 1e-9)))
+    checks.append(("components do not correlate", sum(abs(found[f"c{c}"]) > 1e-6 for c in range(1, k))))
+    return scored.sparkSession.createDataFrame(checks, "check_name string, violations long")
+
+
+def check_clusters(grouped: DataFrame, fitted: Sequence[KMeansModel], cols: Sequence[str], out: str = "cluster") -> DataFrame:
+    """(check_name, violations): rows whose cluster's centre is not the nearest, and starts that
+    are better than the one taken, both from distances computed here."""
+
+    def squares(model: KMeansModel) -> list[Column]:
+        return [sum(((F.col(c) - F.lit(float(x))) ** 2 for c, x in zip(cols, centre)), F.lit(0.0)) for centre in model.clusterCenters()]
+
+    best = squares(fitted[0])
+    own, least = F.get(F.array(*best), F.col(out)), F.array_min(F.array(*best))
+    costs = [F.sum(F.array_min(F.array(*squares(m)))).alias(f"s{n}") for n, m in enumerate(fitted)]
+    found = grouped.agg(F.count(F.when(own > least + 1e-9, 1)).alias("far"), *costs).first()
+    checks = [
+        ("zones nearer to another centre", found["far"]),
+        ("starts with less cost", sum(found[f"s{n}"] < found["s0"] - 1e-6 * (1 + found["s0"]) for n in range(len(fitted)))),
+    ]
+    return grouped.sparkSession.createDataFrame(checks, "check_name string, violations long")
+
+
 def pca_report(
     zones: DataFrame, k: int = 2, clusters: int = 4, seed: int = 42, restarts: int = 10, top: int = 5
 ) -> dict[str, DataFrame]:
     """Components, demand score, named clusters and their summaries."""
     scored, model = pca_scores(zones, PCA_FEATURES, k)
     scored = min_max(stash(scored, "pc"), "PC1", "demand_score")
-    grouped = stash(cluster(scored, [f"PC{i + 1}" for i in range(k)], clusters, restarts, seed), "clusters")
+    parts = [f"PC{i + 1}" for i in range(k)]
+    rows, fitted = cluster(scored, parts, clusters, restarts, seed)
+    grouped = stash(rows, "clusters")
     named = name_by_rank(grouped, "cluster", "demand_score", fixed.CLUSTER_NAMES[:clusters], "cluster_name")
     best = top_n_per_group(named, "cluster_name", [F.desc("demand_score"), F.asc("pickup_cell")], top)
     return {
         "zones": share_of_max(named, "total_trips", "trip_score"),
+        "checks": check_components(scored, model, PCA_FEATURES).unionByName(check_clusters(grouped, fitted, parts)),
         "explained": pca_explained(model, zones),
         "loadings": pca_loadings(model, PCA_FEATURES, zones),
         "stats": cluster_stats(named),

@@ -12,7 +12,7 @@ from zonepulse.functions.scalars import (
     safe_div, speed_mph,
 )
 from zonepulse.functions.times import day_name, days_between, dow_name, hour_floor
-from zonepulse.operators.aggregates import WIDE, exact_avg, kpis, value_counts, volume_by
+from zonepulse.operators.aggregates import MONEY, WIDE, exact_avg, kpis, value_counts, volume_by
 from zonepulse.operators.joins import complete_grid, label_locations, without_match
 from zonepulse.operators.ordering import order_by_category, random_n, top_k
 from zonepulse.operators.prep import date_between, last_interval, same_year, where_in
@@ -36,7 +36,7 @@ def rfm_metrics(facts: DataFrame, locations: DataFrame, as_of: str, days: int) -
     cells = window.groupBy("pickup_cell").agg(
         days_between(F.max(F.to_date("picked_up_at")), F.lit(as_of).cast("date")).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency_trips"),
-        exact_avg(paid).alias("monetary_avg_earnings"),
+        exact_avg(paid, MONEY).alias("monetary_avg_earnings"),
         exact_avg(round_to(pct("tip_amount", "fare_amount"), 6), "decimal(18,6)").alias("avg_tip_percentage"),
     )
     labels = (
@@ -82,7 +82,7 @@ def customer_rfm(orders: DataFrame, key: str, ts: str, amount: str, as_of: str)
     metrics = orders.groupBy(key).agg(
         days_between(F.max(F.to_date(ts)), F.lit(as_of).cast("date")).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),
-        exact_avg(amount).alias("monetary"),
+        exact_avg(amount, MONEY).alias("monetary"),
     )
     return rfm_scored(metrics, key, "frequency", "monetary")
 
@@ -107,8 +107,8 @@ def rfm_summaries(scored: DataFrame, segments: Sequence[str] = fixed.SEGMENTS[:2
             F.count(F.lit(1)).alias("zones"),
             F.count(F.when(F.col("segment") == "Gold", 1)).alias("gold_zones"),
             F.count(F.when(F.col("segment") == "Silver", 1)).alias("silver_zones"),
-            exact_avg("avg_earnings").alias("avg_earnings"),
-            exact_avg("avg_tip_pct").alias("avg_tip_pct"),
+            exact_avg("avg_earnings", WIDE).alias("avg_earnings"),
+            exact_avg("avg_tip_pct", WIDE).alias("avg_tip_pct"),
         ),
         "counts": value_counts(scored, "segment"),
         "revenue": segment_revenue(scored),
@@ -252,7 +252,7 @@ def trip_sample(facts: DataFrame, n: int, start: str, end: str, seed: int) -> Da
     """n random paid trips of a date range, with the day's name."""
     paid = facts.where((F.col("trip_distance") > 0) & (F.col("fare_amount") > 0))
     span = date_between(paid, "picked_up_at", start, end).select(*SAMPLE_COLUMNS)
-    drawn = random_n(span, n, seed, ["picked_up_at", "dropped_off_at", "passenger_count", "total_amount"])
+    drawn = random_n(span, n, seed, ["trip_id"])
     return drawn.withColumn("day_of_week", day_name("picked_up_at"))
 
 

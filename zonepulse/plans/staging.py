@@ -13,7 +13,7 @@ from zonepulse.functions.scalars import (
     cast_to, f_to_c, flag, has_word, in_words, inch_to_mm, round_to,
 )
 from zonepulse.functions.times import day_of, from_epoch, shift_days, shift_years, stamp
-from zonepulse.operators.aggregates import coverage, exact_avg
+from zonepulse.operators.aggregates import WIDE, coverage, exact_avg
 from zonepulse.operators.ordering import random_n
 from zonepulse.operators.prep import (
     conform, date_between, require_positive, require_present, time_range, where_in,
@@ -156,8 +156,8 @@ def station_rollup(
     return (
         good.groupBy(shift_years("date", years).alias("observation_date"))
         .agg(
-            exact_avg("temp").alias("t"), F.max("max").alias("hi"), F.min("min").alias("lo"),
-            exact_avg("prcp").alias("p"),
+            exact_avg("temp", WIDE).alias("t"), F.max("max").alias("hi"), F.min("min").alias("lo"),
+            exact_avg("prcp", WIDE).alias("p"),
             *[
                 F.bool_or(F.col(src).try_cast("int") == 1).alias(out)
                 for out, src in (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from zonepulse.operators import quality
 from zonepulse.operators.aggregates import row_counts
 from zonepulse.plans import dimensions, facts, models, staging
+from zonepulse.plans.store import ModelStore
 from zonepulse.session import stash
 from zonepulse.sources import bindings
-from zonepulse.sources.sinks import as_view, layer_path, materialize
+from zonepulse.sources.sinks import as_view, layer_path
+from zonepulse.sources.snapshots import SnapshotTable
 
 SHIFT_DAYS = 1462
 SHIFT_YEARS = 4
-CALENDAR = ("1999-01-01", "2004-12-31")
+CALENDAR = ("1999-01-01", "2005-12-31")
 EVENT_YEARS = 24
 EVENT_CALENDAR = ("2024-01-01", "2024-12-31")
 
@@ -43,6 +45,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.defined: dict[str, DataFrame] = {}
+        self.reports: dict[str, dict[str, DataFrame]] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self.defined:
@@ -164,20 +167,24 @@ MODELS = {
 def build_all(
     spark: SparkSession, trips: DataFrame, zones: DataFrame, weather: DataFrame, events: DataFrame,
     out_dir: str, calendar: tuple[str, str], zone_span: tuple[str, str], seed: int = 42,
-    train: bool = True, iterations: int = 50,
+    iterations: int = 50, fare_iterations: int = 20,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The daily build: layers in order, then checks, then training, then the forecast.
+    """The daily build: layers in order, training, the forecast, then checks.
 
     Takes staged trips, weather and events. Returns the models by name and the check report.
     Failed checks are reported and do not stop the build. Facts are stored where several
-    models read them.
+    models read them. Tables are replaced as a whole: until a model's new version is there,
+    readers see the old one, also if the build fails. Both models are stored in `out_dir`/models,
+    and the forecast comes from the one read back. Without rows to train on, a failed check says
+    so and the model of the last build stays in use; without any the forecast is empty.
     """
 
-    def keep(name: str, df: DataFrame, **how) -> DataFrame:
+    def keep(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         layer, kind = MODELS[name]
         if kind == "view":
             return as_view(df, f"{layer}_{name}")
-        return materialize(df, layer_path(out_dir, layer, name), **how)
+        table = SnapshotTable(spark, layer_path(out_dir, layer, name), partition_by)
+        return table.replace_partitions(df) if partition_by else table.replace(df)
 
     built = {"stg_trips": keep("stg_trips", trips), "stg_weather": keep("stg_weather", weather)}
     dates = keep("dim_datetime", dimensions.dim_datetime(spark, events, *calendar))
@@ -191,10 +198,30 @@ def build_all(
         "fct_zone_features", facts.zone_features(trip_facts, features, places, *zone_span),
         partition_by=["created_at"],
     )
+    store = ModelStore(spark, f"{out_dir}/models")
+    recent, label = models.recent_rows(features), "predicted_total_pickups"
+    known = models.require_not_null(features, models.LAG_COLUMNS)
+    untrained = {"demand model trained": int(known.isEmpty()), "fare model trained": int(training.isEmpty())}
+    if not untrained["demand model trained"]:
+        fresh = models.train_demand(features, seed, iterations=iterations)
+        store.save("demand", fresh, seed=seed, iterations=iterations)
+    if not untrained["fare model trained"]:
+        store.save("fare", models.train_fare(training, seed, fare_iterations), seed=seed, iterations=fare_iterations)
+    if store.facts("demand"):
+        # Without enough history the model of an earlier build still serves.
+        stored = store.load("demand")
+        forecast = models.build_forecast(features, stored)
+        before = fresh if not untrained["demand model trained"] else stored
+        both = models.predict(stored, models.predict(before, recent).withColumnRenamed(label, "__before"), keep="__before")
+    else:
+        both = recent.limit(0).withColumns({label: F.lit(0.0), "__before": F.lit(0.0)})
+        forecast = models.score_back(features, both.drop("__before"))
+    fares = models.predict(store.load("fare"), training) if store.facts("fare") else training.withColumn("predicted_fare_amount", F.lit(0.0))
     built |= {
         "dim_datetime": dates, "dim_location": places, "dim_weather": sky, "fct_trips": trip_facts,
         "agg_hourly_demand": demand, "fct_hourly_features": features,
         "fct_fare_training": training, "fct_zone_features": zone_rows,
+        "hourly_demand_forecast": keep("hourly_demand_forecast", forecast),
     }
     checks = quality.report(
         {
@@ -202,16 +229,19 @@ def build_all(
             "dim_location unique": quality.check_unique(places, ["zone_id"]),
             "dim_location cell unique": quality.check_unique(places, ["cell"]),
             "dim_weather unique": quality.check_unique(sky, ["weather_date"]),
-            "fct_trips keys present": quality.check_not_null(trip_facts, ["trip_id", "pickup_cell", "weather_date"]),
             "fct_trips weather known": quality.check_reference(trip_facts, sky, "weather_date", "weather_date"),
-            "fct_trips passengers": quality.check_range(trip_facts, F.col("passenger_count") > 0),
+            "stored demand model predicts alike": both.where(~F.col(label).eqNullSafe(F.col("__before"))),
         }
-    )
-    if train:
-        model = models.train_demand(features, seed, iterations=iterations)
-        built["hourly_demand_forecast"] = keep(
-            "hourly_demand_forecast", models.build_forecast(features, model)
+    ).unionByName(
+        quality.condition_report(
+            trip_facts,
+            {
+                "fct_trips keys present": F.col("trip_id").isNotNull() & F.col("pickup_cell").isNotNull() & F.col("weather_date").isNotNull(),
+                "fct_trips passengers": F.col("passenger_count") > 0,
+            },
         )
+    ).unionByName(quality.condition_report(fares, {"fares predicted": F.col("predicted_fare_amount").isNotNull()}))
+    checks = checks.unionByName(quality.counted_report(spark, untrained))
     return built, checks
 
 

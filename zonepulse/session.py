@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +62,10 @@ def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stash_observed(df: DataFrame, metrics: Mapping[str, Column], label: str = "stash") -> tuple[DataFrame, dict[str, object]]:
+    """Stores a frame and aggregates over it in the same pass; returns both."""
+    seen = Observation()
+    stored = stash(df.observe(seen, *[col.alias(name) for name, col in metrics.items()]), label)
+    return stored, seen.get

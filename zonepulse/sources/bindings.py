@@ -84,6 +84,22 @@ def zones(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
+def zone_texts(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """The zones as polygon texts: a square with a hole off its centre, and a smaller square apart."""
+    lon, lat = F.col("n_nationkey") * 13 - 74000, F.col("n_nationkey") * 7 + 40600
+
+    def square(x: float, y: float, half: float) -> Column:
+        corners = [(-half, -half), (half, -half), (half, half), (-half, half), (-half, -half)]
+        at = [F.concat_ws(" ", ((lon + x + dx) / F.lit(1000.0)).cast("string"), ((lat + y + dy) / F.lit(1000.0)).cast("string")) for dx, dy in corners]
+        return F.concat(F.lit("("), F.concat_ws(", ", *at), F.lit(")"))
+
+    text = F.concat(
+        F.lit("MULTIPOLYGON (("), square(0, 0, 2), F.lit(", "), square(1, 0, 0.5), F.lit("), ("), square(10, 20, 1), F.lit("))"),
+    )
+    base = zones(nation, region).join(nation.select(F.col("n_nationkey").cast("string").alias("zone_id"), text.alias("zone_geom")), "zone_id")
+    return base.select("zone_id", "zone_name", "borough", "zone_geom")
+
+
 def stations(orders: DataFrame) -> DataFrame:
     """Station readings in Fahrenheit and inches, one per order; a fourth station is foreign."""
     cust, key = F.col("o_custkey"), F.col("o_orderkey")

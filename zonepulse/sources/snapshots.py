@@ -8,7 +8,6 @@ its files until they are cleaned up.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections import Counter
 from collections.abc import Callable, Sequence
@@ -18,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from zonepulse.sources import files
+from zonepulse.sources.versions import Versions
 
-VERSIONS = "_versions"
 #: Partition column that holds one write's files apart; readers do not see it.
 WRITE = "__write"
 
@@ -29,36 +28,24 @@ class SnapshotTable:
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), list(partition_by)
-
-    # versions
-
-    def versions(self) -> list[int]:
-        found = files.names(self.spark, f"{self.path}/{VERSIONS}")
-        return sorted(int(name.removesuffix(".json")) for name in found if name.endswith(".json"))
-
-    def _content(self, version: int) -> dict:
-        return json.loads(files.read_text(self.spark, f"{self.path}/{VERSIONS}/{version:08d}.json"))
+        self.history = Versions(spark, self.path)
 
     def current(self) -> dict | None:
         """Number, schema and folders of the newest version, None before the first."""
-        known = self.versions()
-        return {**self._content(known[-1]), "version": known[-1]} if known else None
+        return self.history.current()
 
     def _publish(self, change: Callable[[dict | None], dict]) -> None:
-        """Makes the next version from the newest one; starts over if another writer was first."""
-        while True:
-            now = self.current()
-            number = now["version"] + 1 if now else 0
+        def next_(now: dict | None) -> dict:
             kept = {k: now[k] if now else {} for k in ("done", "notes")}
-            text = json.dumps({"partition_by": self.partition_by, **kept, **change(now)})
-            if files.publish_text(self.spark, f"{self.path}/{VERSIONS}/{number:08d}.json", text):
-                return
+            return {"partition_by": self.partition_by, **kept, **change(now)}
+
+        self.history.publish(next_)
 
     # rows
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or an older one that has not been cleaned up."""
-        content = self.current() if version is None else self._content(version)
+        content = self.current() if version is None else self.history.content(version)
         if content is None:
             raise ValueError(f"no table at {self.path}")
         return self._rows(content, content["folders"])
@@ -187,10 +174,7 @@ class SnapshotTable:
         Returns how many folders went. Not for use while another writer is at work: what it has
         written aside is named by no version yet.
         """
-        known = self.versions()
-        kept = {f for v in known[-keep:] for f in self._content(v)["folders"]}
-        for v in known[:-keep]:
-            files.remove(self.spark, f"{self.path}/{VERSIONS}/{v:08d}.json")
+        kept = {f for content in self.history.keep(keep) for f in content["folders"]}
         gone = [f for f in self.folders() if f not in kept]
         for folder in gone:
             files.remove(self.spark, f"{self.path}/{folder}")

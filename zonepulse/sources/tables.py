@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from zonepulse.functions import fixed
+from zonepulse.functions.geo import rings_of
 
 ZONE_SCHEMA = "zone_id string, zone_name string, borough string, ring array<struct<x:double,y:double>>"
+ZONE_TEXT_SCHEMA = "zone_id string, zone_name string, borough string, zone_geom string"
 RAW_JSON_SCHEMA = "raw_json string, inserted_at timestamp_ntz"
 CALENDAR_SCHEMA = "event_date date, event_name string, event_type string"
 TRIP_SCHEMA = (
@@ -34,6 +36,12 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, ZONE_SCHEMA)
 
 
+def read_zone_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Zones of a CSV file with a header line whose `zone_geom` holds polygon texts; adds `rings`."""
+    zones = spark.read.csv(path, header=True, schema=ZONE_TEXT_SCHEMA, enforceSchema=False)
+    return zones.withColumn("rings", rings_of("zone_geom"))
+
+
 def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, RAW_JSON_SCHEMA)
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from zonepulse.operators.aggregates import WIDE
 from zonepulse.session import scratch_path
 from zonepulse.sources.sinks import with_day
 from zonepulse.sources.snapshots import SnapshotTable
@@ -171,7 +172,7 @@ def summarize_windows(
         too_late = timed.where(closed).withColumn("window_start", F.col("__w.start")).drop("__w")
         late.append(too_late.unionByName(timeless), "stream", number)
         sums = timed.where(~closed).groupBy(F.col("__w.start").alias("window_start"), F.col(key)).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(18,4)")).alias("total"), F.count(value).alias("valued")
+            F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast(WIDE)).alias("total"), F.count(value).alias("valued")
         )
         here = batch.agg(F.max(ts).cast("string")).first()[0]
         newest = max([t for t in (newest, here) if t], key=datetime.fromisoformat, default=None)
@@ -199,11 +200,11 @@ def window_summary(spark: SparkSession, path: str, key: str, value: str, with_la
     """
     parts = _added_up(SnapshotTable(spark, f"{path}/windows").read(), key).withColumn("n_late", F.lit(0).cast("long"))
     behind = SnapshotTable(spark, f"{path}/late").read().where("window_start IS NOT NULL").groupBy("window_start", key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(18,4)")).alias("total"), F.count(value).alias("valued")
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast(WIDE)).alias("total"), F.count(value).alias("valued")
     )
     behind = behind.withColumn("n_late", F.col("n"))
     if not with_late:
-        behind = behind.withColumns({"n": F.lit(0).cast("long"), "total": F.lit(None).cast("decimal(28,4)"), "valued": F.lit(0).cast("long")})
+        behind = behind.withColumns({"n": F.lit(0).cast("long"), "total": F.lit(None).cast("decimal(38,9)"), "valued": F.lit(0).cast("long")})
     both = parts.unionByName(behind).groupBy("window_start", key).agg(
         F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"), F.sum("valued").alias("valued"), F.sum("n_late").alias("n_late")
     )
