@@ -165,6 +165,27 @@ def test_archives_round_trip(spark, frame, tmp_path):
         assert r["refers_to"] == (None if first[body] == r["page_id"] else first[body])
 
 
+def test_archives_of_odd_pages(spark, frame, tmp_path):
+    schema = "page_id long, url string, captured string, body string, payload_bytes int, refers_to string"
+    long = "x\r\n\r\ny" * 300_000
+    rows = [(5, "http://a.b/", "2024-01-01T00:00:00Z", "same"), (5, "http://a.b/", "2024-01-01T00:00:00Z", "same"), (None, None, "2024-01-01T00:00:00Z", "same"),
+            (7, "http://a.b/7", "2024-01-01T00:00:00Z", "same"), (8, "no url", "2024-01-02T00:00:00Z", long), (9, "http://c.d", "2024-01-01T00:00:00Z", long)]
+    pages = frame([(*r, 1, "x") for r in rows], schema)
+
+    def captures(min_bytes):
+        path = str(tmp_path / f"w{min_bytes}")
+        warc.write_archives(pages, path, min_bytes)
+        out = warc.merge_runs(warc.read_runs(spark, path)).collect()
+        return Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in out)
+
+    want = Counter({(5, 4, "response", None): 2, (None, 4, "response", None): 1, (7, 4, "revisit", 5): 1, (8, len(long), "response", None): 1, (9, len(long), "revisit", 8): 1})
+    assert captures(0) == want
+    del want[7, 4, "revisit", 5]
+    assert captures(5) == want + Counter({(7, 4, "response", None): 1})
+    warc.write_archives(pages.limit(0), str(tmp_path / "none"))
+    assert warc.merge_runs(warc.read_runs(spark, str(tmp_path / "none"))).count() == 0
+
+
 def test_loser_tree_merges_any_number_of_runs():
     draw = random.Random(3)
     for k in range(9):

@@ -10,6 +10,7 @@ globally ordered capture history.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -86,10 +87,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_
 
     A null body is an empty payload; a null page_id is kept as a record of its own; repeated
     rows are repeated records, all responses if they hold the smallest id of their payload.
+    Files are compressed by gzip; offsets count bytes of the archive inside.
     """
     pages = pages.select("page_id", "url", "captured", F.coalesce("body", F.lit("")).alias("body"))
     records = with_records(pages, min_bytes).select(record().alias("value"))
-    records.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
+    records.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
 
 def url_key(url: str) -> str:
@@ -145,7 +147,8 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     def runs(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"]):
-                yield _frame(sorted(parse(archive.rsplit("/", 1)[-1], bytes(content)), key=_order))
+                name = archive.rsplit("/", 1)[-1].removesuffix(".gz")
+                yield _frame(sorted(parse(name, gzip.decompress(content)), key=_order))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInPandas(runs, CAPTURE)
