@@ -128,6 +128,33 @@ def events_shifted(w: Warehouse) -> DataFrame:
     return ST.stg_events(w.calendar(), EVENT_YEARS)
 
 
+@query
+def calendar_seed_scan(w: Warehouse) -> DataFrame:
+    """Calendar events from a CSV file with a header line."""
+    path = scratch_path(w.spark, "seed")
+    w.calendar().select("event_date", "event_name", "event_type").write.csv(path, header=True)
+    return ST.stg_events(TB.read_seed(w.spark, path), EVENT_YEARS)
+
+
+@query
+def raw_document_scan(w: Warehouse) -> DataFrame:
+    """Weather documents from a table of raw texts."""
+    path = scratch_path(w.spark, "raw")
+    w.weather_documents().select("raw_json", "inserted_at").write.parquet(path)
+    return ST.stg_weather_json(TB.read_raw_json(w.spark, path))
+
+
+@query
+def model_listing(w: Warehouse) -> DataFrame:
+    """Views of two models as the catalog lists them, with rows of a preview of each."""
+    views = {"listed_locations": w.locations, "listed_dates": w.dates}
+    for name, df in views.items():
+        K.as_view(df, name)
+    found = TB.list_models(w.spark).where(F.col("name").isin(list(views)))
+    rows = A.row_counts({name: P.preview(df, df.columns[:2], 10) for name, df in views.items()})
+    return found.join(rows, F.col("name") == F.col("model")).select("name", "kind", "temporary", "row_count")
+
+
 @query
 def station_weather(w: Warehouse) -> DataFrame:
     return ST.stg_weather(w.stations(), SHIFT_YEARS)
@@ -300,11 +327,19 @@ def vendor_month_filled(w: Warehouse) -> DataFrame:
 
 @query
 def event_grid_filled(w: Warehouse) -> DataFrame:
-    # Purchases per user and hour leave many gaps; the grid fills them with the user's mean.
-    hours = A.volume_by(w.table("events").where("event_type = 'purchase'"), "user_id", "ts", "hour")
+    # Events per user and hour of day leave gaps; the grid fills them with the user's mean.
+    hours = A.volume_by(w.table("events"), "user_id", "ts", "hour")
     return J.complete_grid(hours, "user_id", "hour", list(range(24)), "trip_count", "mean")
 
 
+@query
+def vendor_month_random(w: Warehouse) -> DataFrame:
+    # Months without trips, and a vendor without any, get random counts near the vendor's mean.
+    months = [f"{year}-{month:02d}" for year in (2004, 2005) for month in range(1, 13)]
+    volume = R.vendor_volume(R.vendor_hours(w.facts()), "month")
+    return J.complete_grid(volume, "vendor_id", "month", months, "trip_count", "random", keys=["1", "2", "9"], seed=SEED)
+
+
 # --- forecast, demand map -----------------------------------------------------------------
 
 def standin_forecast(w: Warehouse, on=M.FORECAST_KEYS) -> DataFrame:
