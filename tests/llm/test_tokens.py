@@ -143,7 +143,8 @@ def aligned_by_hand(texts):
             ([i for i, e in zip(ids_a, ends_a) if lo < e <= hi], [i for i, e in zip(ids_b, ends_b) if lo < e <= hi])
             for lo, hi in zip([0, *cuts], cuts)
         ]
-        links = [(x, y) for x, p in zip(ids_a, ends_a) for y, q in zip(ids_b, ends_b) if p == q] if len(ids_a) < 4000 else [(g[0][-1], g[1][-1]) for g in groups]
+        ending = dict(zip(ends_b, ids_b))
+        links = [(x, ending[p]) for x, p in zip(ids_a, ends_a) if p in ending]
         out.append((ids_a, ids_b, groups, links))
     return out
 
