@@ -4,6 +4,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from zonepulse import catalog
+from zonepulse.plans.warehouse import open_warehouse
 from zonepulse.sources import sinks as K, tables as TB
 from zonepulse.streaming import ingest as I
 
@@ -75,6 +77,15 @@ def test_replay(spark, frame):
     assert I.replay_batch(trips, "2025-01-01", 500, 1461, 1462, 3, ["vendor_id"]).count() == 20
 
 
+def test_replay_of_a_whole_day(spark):
+    w = open_warehouse(spark, "/root/testdata/sf0.01")
+    trips = catalog.raw_event_trips(w)
+    of_day = trips.where("to_date(pickup_datetime) = date'2024-01-11' AND trip_distance > 0 AND passenger_count > 0 AND total_amount > 0")
+    of_day = of_day.where("pickup_location_id IS NOT NULL AND dropoff_location_id IS NOT NULL")
+    assert catalog.replay_rows(w).count() == of_day.count() > 100
+    assert I.replay_batch(trips, "2028-01-11", None, 1461, 1462, 3, ["event_id"]).count() == of_day.count()
+
+
 def test_window_summary_equals_batch(spark):
     folder = "/root/testdata/sf0.001"
     events = spark.read.parquet(f"{folder}/events.parquet")

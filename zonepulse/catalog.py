@@ -744,7 +744,8 @@ def raw_event_trips(w: Warehouse) -> DataFrame:
 
 @query
 def replay_rows(w: Warehouse) -> DataFrame:
-    rows = I.replay_rows(raw_event_trips(w), "2028-01-11", 100, 1461, 1462, SEED, ["event_id"])
+    """The whole day; `replay_sample` draws from it."""
+    rows = I.replay_rows(raw_event_trips(w), "2028-01-11", None, 1461, 1462, SEED, ["event_id"])
     return rows.select("event_id", "pickup_datetime", "rate_code", "payment_type", "extra", "tip_amount", "tolls_amount")
 
 

@@ -84,24 +84,25 @@ def ingest_trips(
 
 
 def replay_batch(
-    trips: DataFrame, day: str, n: int, lookup_shift: int, emit_shift: int, seed: int,
+    trips: DataFrame, day: str, n: int | None, lookup_shift: int, emit_shift: int, seed: int,
     keys: Sequence[str],
 ) -> DataFrame:
     """n random trips of the day `lookup_shift` days before `day`, moved by `emit_shift` days,
-    as base64 messages. Empty, zero and missing optional fields get their defaults."""
+    as base64 messages. Empty, zero and missing optional fields get their defaults. Without n,
+    every trip of the day."""
     moved = replay_rows(trips, day, n, lookup_shift, emit_shift, seed, keys)
     iso = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") for c in ("pickup_datetime", "dropoff_datetime")}
     return to_messages(moved.withColumns(iso))
 
 
 def replay_rows(
-    trips: DataFrame, day: str, n: int, lookup_shift: int, emit_shift: int, seed: int,
+    trips: DataFrame, day: str, n: int | None, lookup_shift: int, emit_shift: int, seed: int,
     keys: Sequence[str],
 ) -> DataFrame:
     source = date.fromisoformat(day) - timedelta(days=lookup_shift)
     of_day = date_between(trips, "pickup_datetime", source, source)
     clean = require_present(require_positive(of_day, MEASURES), LOCATION_IDS, allow_empty=True)
-    drawn = random_n(clean, n, seed, keys)
+    drawn = clean if n is None else random_n(clean, n, seed, keys)
     out = {c: shift_days(c, emit_shift) for c in ("pickup_datetime", "dropoff_datetime")}
     out |= {c: falsy_default(c, d) for c, d in TEXT_DEFAULTS.items()}
     out |= {c: falsy_default(c, d, "number") for c, d in AMOUNT_DEFAULTS.items()}
