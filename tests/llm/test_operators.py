@@ -1,8 +1,11 @@
 """The training-data operators on small frames, next to brute-force versions."""
 
 import base64
+import glob
 import hashlib
 import random
+import tempfile
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -124,6 +127,29 @@ def test_near_duplicates_in_a_chain_whose_ends_differ(frame):
     assert equals_all_pairs(frame, texts, sketches=1)
 
 
+def test_near_duplicates_leave_no_shuffle_files(spark, frame):
+    def files():
+        return set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+
+    before = files()
+    found = neardup.near_duplicates(docs_of(frame, [f"{PROSE[n % 2]} {n} {n * n}" for n in range(200)]))
+    for _ in range(40):  # Spark removes them beside the work
+        if not files() - before:
+            break
+        time.sleep(0.5)
+    assert not files() - before
+    assert found.count() == 200 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_word_pairs_are_counted_in_slots(frame):
+    texts = [PROSE[0], PROSE[0], None, "", "one two one two one", *(["over and over"] * 300)]
+    want = np.zeros(1 << neardup.ORDER_BITS, int)
+    for text in filter(None, texts):
+        np.add.at(want, neardup.labelled_kmers(neardup.word_codes(text), 2) >> np.uint64(64 - neardup.ORDER_BITS), 1)
+    want[neardup.labelled_kmers(neardup.word_codes(""), 2) >> np.uint64(64 - neardup.ORDER_BITS)] += 1
+    assert (neardup.slot_counts(docs_of(frame, texts), "text", 0.8) == np.minimum(want, 255)).all() and want.max() == 300
+
+
 def test_near_duplicates_at_the_threshold(frame):
     draw, texts = random.Random(13), []
     for n in (5, 10, 20, 60, 150):
