@@ -43,6 +43,13 @@ def test_ids_equal_the_library():
             assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_stretches_are_learned_when_looked_up():
+    encoder, library = bytelevel.ByteLevel(BYTES), Tokenizer.from_file(BYTES)
+    for part in ("hello", "Straße", "unheardofwordofmanytokensxyzzyq", "end.", "end", "漢字", "a-b", "don't", "12,5"):
+        want = np.array(library.encode(" " + part, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.stretches[part] == want == encoder.stretches[part]
+
+
 def test_ids_with_little_memory(monkeypatch):
     monkeypatch.setattr(bytelevel, "REMEMBERED", 3)
     own, library = bytelevel.ByteLevel(BYTES), Tokenizer.from_file(BYTES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from array import array
 
 import numpy as np
@@ -24,6 +25,8 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
+#: Packs so many ids; words seldom have more.
+_PACK = [struct.Struct(f"={n}I").pack for n in range(8)]
 LETTERS = dict(enumerate(byte_letters()))
 SPACE = LETTERS[0x20]
 
@@ -44,6 +47,38 @@ class _Pretokens(dict):
         return ids
 
 
+class _RunOfSpace(Exception):
+    """A stretch begins with white space: it belongs to the one before."""
+
+
+class _Stretches(dict):
+    """Ids of what follows a space, up to the next one, that space included; new ones are learned.
+
+    A plain word is one pretoken; signs after it are one more.
+    """
+
+    def __init__(self, encoder: ByteLevel):
+        super().__init__()
+        self.encoder, self.tokenize = encoder, encoder.tokenizer.model.tokenize
+
+    def __missing__(self, part: str) -> bytes:
+        word = part if part.isalpha() else part.rstrip(SIGNS)
+        if word.isalpha() and ((plain := word.isascii()) or max(word) < SETTLED):
+            if word is part or (ids := self.get(word)) is None:
+                found = self.tokenize(SPACE + word if plain else SPACE + as_letters(word))
+                ids = [t.id for t in found]
+                self[word] = ids = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else array("I", ids).tobytes()
+            if len(word) == len(part):
+                return ids
+            ids += self.encoder.pretokens[part[len(word) :]]
+        elif not part or part[0].isspace():
+            raise _RunOfSpace
+        else:
+            ids = self.encoder.stretch(" " + part)
+        self[part] = ids
+        return ids
+
+
 class ByteLevel:
     """A tokenizer file of the library; `plain` takes special tokens' strings in a text as text.
 
@@ -56,8 +91,7 @@ class ByteLevel:
         self.tokenizer.encode_special_tokens = plain
         self.specials = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pretokens = _Pretokens(self.tokenizer.model)
-        #: Ids of what follows a space, up to the next one, that space included.
-        self.stretches: dict[str, bytes] = {}
+        self.stretches = _Stretches(self)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -74,31 +108,12 @@ class ByteLevel:
         if any(special in text for special in self.specials):
             return self.whole(text)
         first, *parts = text.split(" ")
-        found = list(map(self.stretches.get, parts))
-        if None in found:
-            new = {part for part, ids in zip(parts, found) if ids is None}
-            if any(not part or part[0].isspace() for part in new):
-                return self._with_runs_of_space(first, parts)
-            if len(self.stretches) > REMEMBERED:
-                self.stretches.clear()
-            self._learn(new)
-            known = self.stretches
-            found = [known[part] if ids is None else ids for part, ids in zip(parts, found)]
-        return self.stretch(first) + b"".join(found)
-
-    def _learn(self, new: set[str]) -> None:
-        """Remembers stretches. A plain word is one pretoken; signs after it are one more."""
-        tokenize, known = self.tokenizer.model.tokenize, self.stretches
-        for part in new:
-            word = part if part.isalpha() else part.rstrip(SIGNS)
-            if not word.isalpha() or not (plain := word.isascii()) and max(word) >= SETTLED:
-                known[part] = self.stretch(" " + part)
-                continue
-            if word not in known:
-                letters = word if plain else as_letters(word)
-                known[word] = array("I", [t.id for t in tokenize(SPACE + letters)]).tobytes()
-            if len(word) < len(part):
-                known[part] = known[word] + self.pretokens[part[len(word) :]]
+        if len(self.stretches) > REMEMBERED:
+            self.stretches.clear()
+        try:
+            return self.stretch(first) + b"".join(map(self.stretches.__getitem__, parts))
+        except _RunOfSpace:
+            return self._with_runs_of_space(first, parts)
 
     def _with_runs_of_space(self, first: str, parts: list[str]) -> bytes:
         """White space in a row is cut by the library's rule, together with the stretch before it."""
