@@ -150,6 +150,39 @@ def test_word_pairs_are_counted_in_slots(frame):
     assert (neardup.slot_counts(docs_of(frame, texts), "text", 0.8) == np.minimum(want, 255)).all() and want.max() == 300
 
 
+def test_word_profiles_never_leave_out_a_similar_pair(frame):
+    draw, texts = random.Random(17), []
+    for n in (1, 5, 40, 400):
+        for edits in (0, n // 10, n // 5, n // 4, n):
+            words = some_words(draw, n)
+            other = changed_words(draw, words, draw.sample(range(n), edits))
+            texts += [words, other, other[: n - n // 8], words * 300 if n == 1 else words[n // 4 :] + words[: n // 4]]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    ids = [(a, b) for a, _ in rows for b, _ in rows if a < b]
+    codes = [neardup.word_codes(text) for _, text in rows]
+    similar = {p for p, yes in zip(ids, neardup.similar_pairs([(codes[a], codes[b]) for a, b in ids], 0.8)) if yes}
+    kept = neardup.may_be_similar(frame(ids, "a long, b long"), frame(rows, "node long, text string"), 0.8).collect()
+    assert similar <= {(r["a"], r["b"]) for r in kept} and len(kept) < len(ids) / 2
+    assert neardup.may_be_similar(frame([], "a long, b long"), frame(rows, "node long, text string"), 0.8).count() == 0
+
+
+def test_texts_of_unlike_pairs_do_not_move(spark, frame, monkeypatch):
+    draw, sent, verify = random.Random(18), [], neardup.verify
+    passage = some_words(draw, 90)
+    texts = [" ".join(passage + [f"y{draw.randrange(10**6)}" for _ in range(70)]) for _ in range(40)]
+    monkeypatch.setattr(neardup, "verify", lambda pairs, *rest: sent.append(pairs.count()) or verify(pairs, *rest))
+    assert len({r["class_id"] for r in neardup.near_duplicates(docs_of(frame, texts), sketches=1).collect()}) == 40
+    assert sum(sent) < 100  # each two of them share half their word pairs
+    links = neardup._Links(frame(list(enumerate(texts)), "node long, text string"), 0.8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = links.texts_of(frame([(1, 2)], "a long, b long"))._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_near_duplicates_at_the_threshold(frame):
     draw, texts = random.Random(13), []
     for n in (5, 10, 20, 60, 150):
