@@ -183,6 +183,39 @@ def test_texts_of_unlike_pairs_do_not_move(spark, frame, monkeypatch):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_texts_that_share_a_passage_meet_once(frame, monkeypatch):
+    draw, made, joined = random.Random(19), [], neardup._joined
+    passage = some_words(draw, 90)
+    texts = [passage + [f"y{draw.randrange(10**6)}" for _ in range(70)] for _ in range(30)]
+    monkeypatch.setattr(neardup, "_joined", lambda few, *rest: made.append(joined(few, *rest).count()) or joined(few, *rest))
+    assert equals_all_pairs(frame, texts, sketches=1)
+    assert sum(made) <= 2 * 435  # each two of them share 89 word pairs
+
+
+def test_texts_that_share_a_passage_with_many_are_compared_by_blocks(frame, monkeypatch):
+    draw, texts, made, joined = random.Random(20), [], [], neardup._joined
+    passage = some_words(draw, 40)
+    for n in range(90):
+        texts.append(passage + some_words(draw, draw.randrange(6, 16)))
+    texts += [changed_words(draw, t, draw.sample(range(len(t)), len(t) // 5)) for t in texts[:20]]
+    monkeypatch.setattr(neardup, "_joined", lambda few, *rest: made.append(joined(few, *rest).count()) or joined(few, *rest))
+    monkeypatch.setattr(neardup, "MANY", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    assert equals_all_pairs(frame, texts, sketches=1)
+    assert sum(made) < 500
+
+
+def test_near_duplicates_with_repeated_and_moved_words(frame):
+    draw, texts = random.Random(21), []
+    for n in (12, 30, 60):
+        for _ in range(25):
+            words = [f"w{draw.randrange(9)}" for _ in range(n)]
+            cut, put = draw.randrange(n), draw.randrange(n)
+            moved = words[:cut] + words[cut + n // 10 :]
+            texts += [words, moved[:put] + [f"w{draw.randrange(9)}" for _ in range(n // 10)] + moved[put:]]
+    assert equals_all_pairs(frame, texts, sketches=1)
+
+
 def test_near_duplicates_at_the_threshold(frame):
     draw, texts = random.Random(13), []
     for n in (5, 10, 20, 60, 150):
