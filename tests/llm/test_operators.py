@@ -453,6 +453,35 @@ def test_codewords_differ(n):
 # --- pipeline -------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("stage", ["harmless", "identified"])
+def test_stages_send_a_text_once_and_keep_other_columns(frame, stage):
+    rows = [(2**53 + 1, PROSE[0], "en", "s", 2**53 + 1, None, 0.25), (None, "12 you idiot", None, "s", None, 5, None), (3, "12 34!", "en", None, 1, 5, 0.5)]
+    docs = frame(rows, DOCS).coalesce(1)
+    if stage == "harmless":
+        kept, want = toxicity.keep_harmless(docs, small_model("idiot")), [rows[0], rows[2]]
+    else:
+        kept, want = langid.keep_identified(docs, langid.train({"en": langid.gram_counts(PROSE[0])})), rows[:2]
+    assert kept.schema == docs.schema and [tuple(r) for r in kept.collect()] == want
+    # Python gets the text alone and gives a value back: no second copy of the documents in an executor.
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapIn" not in plan
+
+
+def test_learning_holds_one_text_at_a_time(frame):
+    docs = frame([(n, PROSE[n % 2] + " x" * n, ("en", "de")[n % 2], "s", n, 5, 0.5) for n in range(40)], DOCS)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels)
+    want = Counter()
+    for body in (r["text"] for r in docs.collect()):
+        for word in body.split():
+            edged = f"\0\0{word}\0"
+            want.update(edged[i : i + 3] for i in range(len(edged) - 2))
+    assert model.triples == want
+    told = langid.fit(docs)
+    counts = {k: sum(langid.gram_counts(r["text"]) for r in docs.where(F.col("lang") == k).collect()) for k in ("en", "de")}
+    assert told.languages == ["de", "en"] and np.allclose(told.weights, langid.train(counts).weights)
+
+
 def test_pipeline_drops_what_its_stages_reject(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -68,6 +69,13 @@ class Model:
         best = int(losses.argmin())
         return best, float(near[best] / near.sum())
 
+    def tell(self, text: str | None) -> tuple[str, float]:
+        """A text's language and score: `und` with 0 if it has no letter or nothing was learned."""
+        if text is None or not self.languages or not _LETTER.search(text):
+            return UNKNOWN, 0.0
+        best, score = self.decode(gram_counts(text))
+        return self.languages[best], score
+
 
 def train(counts: dict[str, np.ndarray]) -> Model:
     """Classifiers from the trigram counts of each language, which all weigh the same."""
@@ -90,19 +98,22 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     The driver gets one count per language and cell.
     """
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
+            # One text at a time, so a task never holds a batch of them as Python strings.
             for label, body in zip(batch["label"], batch["body"]):
+                label = label.as_py()
                 if label not in sums:
                     sums[label] = np.zeros(CELLS, np.int64)
-                sums[label] += gram_counts(body)
+                sums[label] += gram_counts(body.as_py())
         for label, found in sums.items():
             at = np.flatnonzero(found)
-            yield pd.DataFrame({"label": label, "cell": at.astype(np.int32), "n": found[at]})
+            columns = [pa.array([label] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(found[at])]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "cell", "n"])
 
     rows = docs.select(F.col(f"`{lang}`").alias("label"), F.col(f"`{text}`").alias("body")).where("label IS NOT NULL AND body IS NOT NULL")
-    sums = rows.mapInPandas(count, "label string, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).collect()
+    sums = rows.mapInArrow(count, "label string, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).collect()
     counts: dict[str, np.ndarray] = {}
     for r in sums:
         counts.setdefault(r["label"], np.zeros(CELLS))[r["cell"]] = r["n"]
@@ -118,15 +129,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            labels, scores = [], []
-            for body in batch[text]:
-                if body is None or not model.languages or not _LETTER.search(body):
-                    labels.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                best, score = model.decode(gram_counts(body))
-                labels.append(model.languages[best])
-                scores.append(score)
+            told = [model.tell(body) for body in batch[text]]
+            labels, scores = [k for k, _ in told], [s for _, s in told]
             batch = batch.drop(columns=[c for c in ("lang_pred", "score", "ambiguous") if c in batch])
             yield batch.assign(lang_pred=labels, score=scores, ambiguous=[s < CLEAR for s in scores])
 
@@ -147,6 +151,14 @@ def op8_output_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Documents whose language the model can tell: those without a letter go."""
-    found = identify(docs.withColumn("lang_body", F.col(f"`{text}`")), model, "lang_body")
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    """Documents whose language the model can tell, with their own columns: those without a letter go.
+
+    Only texts go to Python, each batch once, and only a language comes back.
+    """
+
+    @F.arrow_udf("string")
+    def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for bodies in batches:
+            yield pa.array([model.tell(body.as_py())[0] for body in bodies], pa.string())
+
+    return docs.where(language(F.col(f"`{text}`")) != UNKNOWN)

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from zonepulse.llm.common import table
@@ -233,15 +234,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     both = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("body")).join(drawn_rows, "k", "left")
     both = both.select("body", "y")
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         triples, words = Counter(), {0: Counter(), 1: Counter()}
         for batch in batches:
             tokens = Counter()
+            # One text at a time, so a task never holds a batch of them as Python strings.
             for body, y in zip(batch["body"], batch["y"]):
+                body, y = body.as_py(), y.as_py()
                 if body is None:
                     continue
                 tokens.update(body.lower().split())
-                if y == y and y is not None:
+                if y is not None:
                     found = {f for t in set(body.lower().split()) for w in plain_words(t) for f in features(w)}
                     words[int(y)].update(found)
                     words[int(y)][""] += 1
@@ -259,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
             for first in range(0, len(rows), 20_000):
                 yield _rows(kind, rows[first : first + 20_000])
 
-    counted = stash(both.mapInPandas(count, "kind int, word string, n long"), "counted")
+    counted = stash(both.mapInArrow(count, "kind int, word string, n long"), "counted")
     triples = {r["word"]: r["n"] for r in counted.where("kind = 2").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     by = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
     sums = counted.where("kind < 2").groupBy("word").agg(by(1).alias("n1"), by(0).alias("n0"))
@@ -275,8 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     return Model(triples, weights, float(np.log((0.02 * all1 + 1) / (all0 + 100))))
 
 
-def _rows(kind: int, rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame({"kind": kind, "word": pd.Series([w for w, _ in rows], dtype=object), "n": [n for _, n in rows]})
+def _rows(kind: int, rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array([kind] * len(rows), pa.int32()), pa.array([w for w, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "word", "n"])
 
 
 def toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -309,6 +313,15 @@ def op7_noisy_channel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keep_harmless(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Documents that are not predicted toxic, with their own columns."""
-    found = toxicity(docs.withColumn("tox_body", F.col(f"`{text}`")), model, "tox_body")
-    return found.where("predicted = 0").select(*docs.columns)
+    """Documents that are not predicted toxic, with their own columns.
+
+    Only texts go to Python, each batch once, and only a flag comes back: the columns keep
+    their values, and an executor holds no second copy of them.
+    """
+
+    @F.arrow_udf("boolean")
+    def harmless(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for bodies in batches:
+            yield pa.array([score_text(body.as_py(), model)[0] < THRESHOLD for body in bodies], pa.bool_())
+
+    return docs.where(harmless(F.col(f"`{text}`")))
