@@ -467,6 +467,20 @@ def test_stages_send_a_text_once_and_keep_other_columns(frame, stage):
     assert plan.count("ArrowEvalPython") == 1 and "MapIn" not in plan
 
 
+def test_stages_get_texts_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").coalesce(1)
+    try:
+        for there, then in (("10000", "1000"), ("0", "1000"), ("300", "300")):
+            for name, stage in corpus_pipeline.STAGES[:2]:
+                spark.conf.set(key, there)
+                stage(spark, docs, FOLDER)
+                assert spark.conf.get(key) == then, name
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_learning_holds_one_text_at_a_time(frame):
     docs = frame([(n, PROSE[n % 2] + " x" * n, ("en", "de")[n % 2], "s", n, 5, 0.5) for n in range(40)], DOCS)
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
