@@ -205,6 +205,56 @@ def test_texts_that_share_a_passage_with_many_are_compared_by_blocks(frame, monk
     assert sum(made) < 500
 
 
+def test_texts_that_share_one_word_pair_do_not_meet(frame, monkeypatch):
+    draw, texts, made, joined = random.Random(22), [], [], neardup._joined
+    for n in range(30):
+        texts.append([f"y{draw.randrange(10**6)}" for _ in range(40)])
+        texts[-1][20:22] = ["one", "pair"]
+    texts += [changed_words(draw, t, draw.sample(range(40), 8)) for t in texts[:3]]
+    monkeypatch.setattr(neardup, "_joined", lambda few, *rest: made.append(joined(few, *rest).count()) or joined(few, *rest))
+    assert equals_all_pairs(frame, texts, sketches=1)
+    assert sum(made) <= 3  # any two of them share a word pair, at the same place
+
+
+def test_near_duplicates_that_share_as_few_word_pairs_as_edits_leave(frame):
+    draw, texts = random.Random(23), []
+    for n in range(4, 24):
+        for _ in range(3):
+            words = some_words(draw, n)
+            cuts = range(1, n - 1, 2)
+            texts += [words, changed_words(draw, words, draw.sample(cuts, min(len(cuts), n // 5)))]
+    assert equals_all_pairs(frame, texts, sketches=1)
+
+
+def test_word_pairs_lie_on_disk_a_slice_at_a_time(frame, monkeypatch):
+    draw, texts, kept, stash = random.Random(24), [], [], neardup.stash
+    for _ in range(40):
+        texts.append(some_words(draw, 50))
+        texts.append(changed_words(draw, texts[-1], draw.sample(range(50), 12)))
+
+    def counted(df, label="stash"):
+        out = stash(df, label)
+        kept.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "stash", counted)
+    assert equals_all_pairs(frame, texts, sketches=1)
+    met = [n for label, n in kept if label == "met"]
+    assert len(met) > 1 and 0 < max(met) < sum(met) / 2
+
+
+def test_blocks_are_compared_some_at_a_time(frame, monkeypatch):
+    draw, texts = random.Random(25), []
+    passage = some_words(draw, 40)
+    for _ in range(40):
+        texts.append(passage + some_words(draw, draw.randrange(6, 16)))
+    texts += [changed_words(draw, t, draw.sample(range(len(t)), len(t) // 5)) for t in texts[:10]]
+    monkeypatch.setattr(neardup, "MANY", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BLOCKS_AT_ONCE", 4)
+    assert equals_all_pairs(frame, texts, sketches=1)
+
+
 def test_near_duplicates_with_repeated_and_moved_words(frame):
     draw, texts = random.Random(21), []
     for n in (12, 30, 60):
