@@ -150,6 +150,18 @@ def test_word_pairs_are_counted_in_slots(frame):
     assert (neardup.slot_counts(docs_of(frame, texts), "text", 0.8) == np.minimum(want, 255)).all() and want.max() == 300
 
 
+def test_word_pairs_of_all_texts_are_counted(frame, monkeypatch):
+    monkeypatch.setattr(neardup, "ORDER_TEXTS", 20)
+    texts = [f"often met n{n}" for n in range(300)] + [None] * 100
+    grams, words = neardup.order_counts(docs_of(frame, texts), "text", 0.8)
+    codes = [neardup.word_codes(text) for text in texts if text]
+    every = np.concatenate(codes) >> np.uint64(64 - neardup.WORD_BITS)
+    want = np.bincount(every.astype(np.int64), minlength=1 << neardup.WORD_BITS)
+    assert (words == (neardup.WORD_STEPS * np.log2(want + 1)).astype(int)).all()
+    pair = neardup.labelled_kmers(codes[0], 2)[0] >> np.uint64(64 - neardup.ORDER_BITS)
+    assert grams[pair] == 15 and (grams > 0).sum() == 1  # 300 of 400 texts
+
+
 def test_word_profiles_never_leave_out_a_similar_pair(frame):
     draw, texts = random.Random(17), []
     for n in (1, 5, 40, 400):
