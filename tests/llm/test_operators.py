@@ -217,6 +217,21 @@ def test_texts_that_share_a_passage_with_many_are_compared_by_blocks(frame, monk
     assert sum(made) < 500
 
 
+def test_first_alignments_cost_no_less_than_the_distance():
+    draw, pairs = random.Random(26), []
+    for n in range(40):
+        for kinds in (3, 30, 10**6):
+            words = np.array([draw.randrange(kinds) for _ in range(n)], np.uint64)
+            cut, other = draw.randrange(n + 1), words.copy()
+            other[draw.sample(range(n), n // 6)] = 1
+            pairs += [(words, other), (words, np.r_[other[cut:], other[:cut]]), (other[:cut], words), (np.delete(words, slice(cut, cut + 2)), other)]
+    pairs = [(a, b) for a, b in pairs if len(a) + len(b)]
+    costs = np.array([neardup._cost(a, b) for a, b in pairs])
+    assert (costs >= neardup.banded_distances(pairs, 50)).all()
+    words = np.arange(100, dtype=np.uint64)
+    assert neardup._cost(words, np.r_[words[:40], words[43:]]) == 3
+
+
 def test_texts_that_share_one_word_pair_do_not_meet(frame, monkeypatch):
     draw, texts, made, joined = random.Random(22), [], [], neardup._joined
     for n in range(30):
