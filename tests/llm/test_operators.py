@@ -302,6 +302,29 @@ def test_near_duplicates_at_the_threshold(frame):
     assert equals_all_pairs(frame, texts)
 
 
+def test_pipeline_drops_near_copies_by_slices_and_counts_of_all_texts(spark, frame, monkeypatch):
+    draw, texts, kept, seen, stash, counts = random.Random(27), [], [], [], neardup.stash, neardup.order_counts
+    for _ in range(40):
+        texts.append(some_words(draw, 50))
+        texts.append(changed_words(draw, texts[-1], draw.sample(range(50), 9)))
+
+    def counted(df, label="stash"):
+        out = stash(df, label)
+        kept.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "stash", counted)
+    monkeypatch.setattr(neardup, "ORDER_TEXTS", 10)
+    monkeypatch.setattr(neardup, "order_counts", lambda *args: seen.append(counts(*args)) or seen[-1])
+    rows = corpus_pipeline.distinct(spark, docs_of(frame, [" ".join(t) for t in texts]), "").collect()
+    assert sorted(r["doc_id"] for r in rows) == [*range(0, 80, 2)]
+    met = [n for label, n in kept if label == "met"]
+    assert len(met) == neardup.SLICES
+    every = np.concatenate([neardup.word_codes(" ".join(t)) for t in texts]) >> np.uint64(64 - neardup.WORD_BITS)
+    want = np.bincount(every.astype(np.int64), minlength=1 << neardup.WORD_BITS)
+    assert (seen[0][1] == (neardup.WORD_STEPS * np.log2(want + 1)).astype(int)).all()
+
+
 # --- licences, archives, shards -------------------------------------------------------------
 
 
